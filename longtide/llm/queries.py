@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
+from .leaks import leaked
 from .mojibake import garbled
+from .packing import pack, waste
+from .truncation import cut_rates, truncated
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -19,5 +22,41 @@ def p2_restored(spark: SparkSession, d: str) -> DataFrame:
     return garbled(table(spark, d, "series"), "series_id", ["title", "geography"]).withColumn("chain", F.concat_ws(" ", "chain"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_restored": p2_restored}
+def p6_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Container and place of every document (piece), in containers of 2,048 tokens."""
+    return pack(table(spark, d, "documents"))
+
+
+def p6_waste(spark: SparkSession, d: str) -> DataFrame:
+    """The share of space left over."""
+    return waste(pack(table(spark, d, "documents")))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaked(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id").distinct()
+
+
+def p7_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Where the passages stand, and their longest verbatim matches."""
+    return leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p7_items(spark: SparkSession, d: str) -> DataFrame:
+    """In how many documents each test item leaked."""
+    return p7_found(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_documents"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncated(table(spark, d, "documents")).filter("cut").select("doc_id").distinct()
+
+
+def p8_rates(spark: SparkSession, d: str) -> DataFrame:
+    """How often each source cuts its texts."""
+    return cut_rates(truncated(table(spark, d, "documents")))
+
+
+QUERIES = {
+    "p2_found": p2_found, "p2_restored": p2_restored, "p6_containers": p6_containers, "p6_waste": p6_waste, "p7_found": p7_found, "p7_matches": p7_matches, "p7_items": p7_items,
+    "p8_found": p8_found, "p8_rates": p8_rates,
+}
 ORACLE: dict[str, str] = {}
