@@ -22,7 +22,7 @@ def terms(query: str) -> list[str]:
 
 def tokens(*cols: str) -> Column:
     """The different words of text columns, lower case, as an array."""
-    text = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in cols]))
+    text = F.lower(F.replace(F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in cols]), F.lit("İ"), F.lit("i")))
     return F.array_distinct(F.filter(F.split(text, WORDS), lambda w: w != ""))
 
 

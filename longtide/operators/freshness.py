@@ -13,6 +13,11 @@ STALE_DAYS = 730
 DUE_SLACK = 0.9
 
 
+def _us(c: Column | str) -> Column:
+    """Microseconds of a timestamp with or without a zone."""
+    return F.unix_micros((F.col(c) if isinstance(c, str) else c).cast("timestamp"))
+
+
 def cadence_days(cadence: Column, default: float) -> Column:
     """Days of a cadence; ``default`` for an unknown one."""
     return F.coalesce(F.create_map(*[F.lit(x) for kv in CADENCE_DAYS.items() for x in kv])[F.lower(F.trim(cadence))], F.lit(default))
@@ -20,7 +25,7 @@ def cadence_days(cadence: Column, default: float) -> Column:
 
 def age_days(stamp: Column, now: Column) -> Column:
     """Days since a stamp; the future counts as now; null for none."""
-    return F.when(stamp.isNotNull(), F.greatest(F.lit(0.0), (F.unix_micros(now) - F.unix_micros(stamp)) / 86_400e6))
+    return F.when(stamp.isNotNull(), F.greatest(F.lit(0.0), (_us(now) - _us(stamp)) / 86_400e6))
 
 
 def business_age_days(stamp: Column, now: Column) -> Column:
@@ -30,10 +35,9 @@ def business_age_days(stamp: Column, now: Column) -> Column:
     # whole weekend days in [first, today): full weeks have two, the rest is at most six days long
     weeks, rest = F.floor(gap / 7), gap % 7
     dow = F.weekday(first)  # Monday is 0
-    sat = F.when((rest > 0) & F.when(dow <= 5, 5 - dow < rest).otherwise(11 < dow + rest + 0), 1).otherwise(0)
-    sun = F.when((rest > 0) & (6 - dow < rest), 1).otherwise(0)
-    weekend = weeks * 2 + sat + sun
-    part = F.when(F.weekday(now) >= 5, (F.unix_micros(now) - F.unix_micros(today.cast("timestamp"))) / 86_400e6).otherwise(0.0)
+    hit = lambda day: F.when((F.lit(day) - dow + 7) % 7 < rest, 1).otherwise(0)
+    weekend = weeks * 2 + hit(5) + hit(6)
+    part = F.when(F.weekday(now) >= 5, (_us(now) - _us(today.cast("timestamp"))) / 86_400e6).otherwise(0.0)
     return F.when(stamp.isNotNull(), F.round(F.greatest(F.lit(0.0), age_days(stamp, now) - weekend - part), 6))
 
 
@@ -41,13 +45,13 @@ def is_due(cadence: Column, last_success: Column, status: Column, last_attempt:
     """Is it time to run a unit again? Nine tenths of its cadence after its last success; one that never succeeded but whose
     last pass was partial waits for its cadence or ``partial_cap`` days, whichever is less; else at once."""
     days = cadence_days(cadence, 7.0)
-    after = lambda d, s: (F.unix_micros(now) - F.unix_micros(s)) / 86_400e6 >= d * DUE_SLACK
+    after = lambda d, s: (_us(now) - _us(s)) / 86_400e6 >= d * DUE_SLACK
     return F.when(last_success.isNotNull(), after(days, last_success)).when((status == "partial") & last_attempt.isNotNull(), after(F.least(days, F.lit(partial_cap)), last_attempt)).otherwise(True)
 
 
 def overdue_key(last: Column, cadence: Column, now: Column) -> Column:
     """Sort key, most overdue first: minus age over cadence; never run is first of all."""
-    age = (F.unix_micros(now) - F.unix_micros(last)) / 86_400e6
+    age = (_us(now) - _us(last)) / 86_400e6
     return F.when(last.isNull(), float("-inf")).otherwise(-(age / cadence_days(cadence, 30.0)))
 
 
@@ -73,7 +77,7 @@ def failure_streak(runs: DataFrame, by: list[str], fails: list[str], neutral: li
     good = r.filter(~F.coalesce(F.col("status").isin(fails), F.lit(False))).groupBy(*by).agg(F.max(F.struct("ts", "id")).alias("good"))
     bad = r.filter(F.col("status").isin(fails)).join(good, by, "left").filter(F.col("good").isNull() | (F.struct("ts", "id") > F.col("good")))
     s = bad.groupBy(*by).agg(F.count(F.lit(1)).alias("n_fails"), F.min("ts").alias("first_fail"), F.max("ts").alias("last_fail"))
-    return s.filter((F.col("n_fails") >= least) & (F.unix_micros("last_fail") - F.unix_micros("first_fail") >= F.lit(int(hours * 3_600_000_000))))
+    return s.filter((F.col("n_fails") >= least) & (_us("last_fail") - _us("first_fail") >= F.lit(int(hours * 3_600_000_000))))
 
 
 def stop_streak(runs: DataFrame, by: list[str]) -> DataFrame:
@@ -109,7 +113,7 @@ def freshness_label(stored: Column, discontinued: Column, paused: Column, run_by
     """The label of a source: a discontinued one keeps its own; then paused; retired if nobody runs it; late if its newest
     success is older than ``tolerance`` cadences and it is not exempt; else what is stored."""
     days = F.create_map(*[F.lit(x) for kv in CADENCE_DAYS.items() for x in kv])[cadence]
-    late = stored.isin(late_from) & days.isNotNull() & ((F.unix_micros(now) - F.unix_micros(newest_success)) / 86_400e6 > days * tolerance) & ~exempt
+    late = stored.isin(late_from) & days.isNotNull() & ((_us(now) - _us(newest_success)) / 86_400e6 > days * tolerance) & ~exempt
     return F.when((stored == "discontinued") | discontinued, stored).when(paused, "paused").when(~run_by, "retired").when(F.coalesce(late, F.lit(False)), "late").otherwise(stored)
 
 
