@@ -12,7 +12,8 @@ def spelled_day(text: Column) -> Column:
     s = F.regexp_replace(text, r"^\s+|\s+$", "")
     dashed = F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}(?:[Tt ].*)?$"), F.substring(s, 1, 10))
     tight = F.when(s.rlike(r"^\d{8}(?:[Tt ].*)?$"), F.concat(F.substring(s, 1, 4), F.lit("-"), F.substring(s, 5, 2), F.lit("-"), F.substring(s, 7, 2)))
-    return F.coalesce(dashed, tight).try_cast("date")
+    day = F.coalesce(dashed, tight).try_cast("date")
+    return F.when(day >= F.lit("0001-01-01").cast("date"), day)  # there is no year 0
 
 
 def utc_day(stamp: Column) -> Column:

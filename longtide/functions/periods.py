@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 
 def _day(y: Column, m: Column | str, d: Column | str) -> Column:
     part = lambda x: F.lit(x) if isinstance(x, str) else F.lpad(x.cast("string"), 2, "0")
-    return F.concat_ws("-", y, part(m), part(d)).try_cast("date")
+    return _real(F.concat_ws("-", y, part(m), part(d)).try_cast("date"))
+
+
+def _real(day: Column) -> Column:
+    """Years 1 to 9999; there is no year 0."""
+    return F.when(day >= F.lit("0001-01-01").cast("date"), day)
 
 
 def _num(s: Column, pattern: str, group: int) -> Column:
@@ -52,7 +57,7 @@ def table_period(code: Column) -> Column:
         (r"^\d{4}[QK]\d$", _quarter(y, _num(s, r"(\d)$", 1))),
         (r"^\d{4}H\d$", _half(y, _num(s, r"(\d)$", 1))),
         (r"^\d{4}W\d{2}$", iso_week_start(yi, _num(s, r"W(\d{2})$", 1))),
-        (r"^\d{4}-\d{2}-\d{2}$", s.try_cast("date")),
+        (r"^\d{4}-\d{2}-\d{2}$", _real(s.try_cast("date"))),
         (r"^\d{6}$", _day(y, _num(s, r"(\d{2})$", 1), "01")),
         (r"^\d{4}M\d{2}D\d{2}$", _day(y, _num(s, r"M(\d{2})", 1), _num(s, r"D(\d{2})$", 1))),
         (r"^\d{4}-\d{4}$", F.when(_num(s, r"-(\d{4})$", 1) == yi + 1, _day(y, "12", "31"))),
@@ -69,7 +74,7 @@ def sdmx_period(code: Column) -> Column:
         (r"^\d{4}-S\d$", F.when(s.endswith("1"), _day(y, "01", "01")).otherwise(_day(y, "07", "01"))),
         (r"^\d{4}-\d{2}$", _day(y, _num(s, r"(\d{2})$", 1), "01")),
         (r"^\d{4}-W\d{2}$", iso_week_start(y.try_cast("int"), _num(s, r"(\d{2})$", 1))),
-        (r"^\d{4}-\d{2}-\d{2}$", s.try_cast("date")),
+        (r"^\d{4}-\d{2}-\d{2}$", _real(s.try_cast("date"))),
         (r"^\d{4}.*-A", _day(y, "12", "31")),
     ])
 
@@ -83,7 +88,7 @@ def tsv_period(code: Column) -> Column:
         (r"^\d{4}$", _day(y, "01", "01"), "A"),
         (r"^\d{4}-?Q[1-4]$", _quarter(y, _num(s, r"(\d)$", 1)), "Q"),
         (r"^\d{4}-?S[12]$", _half(y, _num(s, r"(\d)$", 1)), "S"),
-        (r"^\d{4}-\d{2}-\d{2}$", s.try_cast("date"), "D"),
+        (r"^\d{4}-\d{2}-\d{2}$", _real(s.try_cast("date")), "D"),
         (r"^\d{4}-\d{2}$", _day(y, _num(s, r"(\d{2})$", 1), "01"), "M"),
         (r"^\d{4}-?W\d{2}$", iso_week_start(y.try_cast("int"), _num(s, r"(\d{2})$", 1)), "W"),
     ]

@@ -92,10 +92,11 @@ def jsonstat_rows(texts: DataFrame, time: str, column: str = "text") -> DataFram
     at = lambda p, t: F.from_json(F.get_json_object(js, p), t)
     base = texts.select(at("$.id", "array<string>").alias("dims"), at("$.size", "array<int>").alias("size"), at("$.value", "array<double>").alias("vals"), at("$.dimension", "map<string,string>").alias("dim"))
     index = lambda d: F.get_json_object(F.element_at("dim", d), "$.category.index")
+    places = lambda d: F.from_json(index(d), "map<string,int>")
     codes = F.transform("dims", lambda d: F.coalesce(
         F.from_json(index(d), "array<string>"),
-        F.transform(F.array_sort(F.transform(F.map_entries(F.from_json(index(d), "map<string,int>")), lambda e: F.struct(e["value"].alias("i"), e["key"].alias("c")))), lambda e: e["c"])))
-    strides = F.transform("dims", lambda d, i: F.aggregate(F.slice("size", i + 2, F.size("size")), F.lit(1), lambda a, x: a * x))
+        F.transform(F.array_sort(F.map_values(places(d))), lambda n: F.element_at(F.map_from_arrays(F.map_values(places(d)), F.map_keys(places(d))), n))))
+    strides = F.transform("dims", lambda d, i: F.aggregate(F.slice("size", i + 2, F.size("size")), F.lit(1), lambda acc, n: acc * n))
     flat = base.select("dims", "size", codes.alias("codes"), strides.alias("strides"), F.posexplode("vals").alias("pos", "value")).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     coord = F.transform("dims", lambda d, i: F.element_at(F.element_at("codes", i + 1), (F.floor(F.col("pos") / F.element_at("strides", i + 1)) % F.element_at("size", i + 1) + 1).cast("int")))
     out = flat.select("dims", coord.alias("c"), "value")
