@@ -182,6 +182,7 @@ def steps(word: str, lengths: Lengths) -> dict[tuple[str, str], str]:
     """All single steps that give something made of known letters."""
     out = {}
     seen_raw = {}
+    only_signs = all(c.isascii() or c in SIGNS for c in word)
     for a in READ_AS:
         try:
             raw = word.encode(a) if a in MULTIBYTE else b"".join(map(_bytes_of(a).__getitem__, word))
@@ -191,7 +192,7 @@ def steps(word: str, lengths: Lengths) -> dict[tuple[str, str], str]:
             continue
         seen_raw[raw] = a
         for b in WRITTEN_IN:
-            if b == a or (a in MULTIBYTE and b != "utf-8"):
+            if b == a or b != "utf-8" and (a in MULTIBYTE or only_signs):
                 continue
             try:
                 new = raw.decode(b)
