@@ -100,7 +100,7 @@ class Lengths:
 
     def __init__(self, words: dict[str, dict[str, int]]):
         size = sum(map(len, words.values()))
-        words = {lang: w for lang, w in words.items() if len(w) >= max(2, MIN_SHARE * size)}
+        words = {lang: w for lang, w in words.items() if len(w) >= MIN_SHARE * size}
         self.langs = sorted(words)
         self.total, self.count = sum(sum(w.values()) for w in words.values()), Counter()
         for w in words.values():
@@ -149,7 +149,7 @@ class Lengths:
                 continue
             bits = 4.0 * max(0, len(self.zstd[lang].compress(word.encode())) - self.empty[lang]) + 0.7 * self.letter_bits(lang, word) + 6 * missing
             best = min(best, bits + LOST_BITS * lost)
-        return best
+        return best if best < math.inf else 8.0 * len(word.encode())  # nothing was learnt
 
 
 @lru_cache(64)
