@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import utc_day
 from ..functions.persistent import PersistentTree
+from ..session import ship
 
 #: Facts of a shard, on average: what one tree holds in memory.
 SHARD_FACTS = 50_000
@@ -39,6 +40,7 @@ def as_known(
     Facts filed on the same day for the same key are reduced to the valid one before the exchange, so that a key
     holds at most one fact per calendar day however hot it is; questions only stream past the tree, and a shard that
     is asked for a large share of them is repeated under several salts. Nothing is collected but shard numbers."""
+    ship(events.sparkSession)
     entity, valid = keys
     ev, fc = list(event_columns), list(fact_columns)
     key_cols = [F.col(entity).alias("k_entity"), F.unix_date(F.col(valid).cast("date")).alias("k_valid")]

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +49,31 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, through the shared folder. Without it, operators whose tasks run
+    Python would need the package to be installed on every machine."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    path = f"{shared_dir(spark)}/{root.name}-{hashlib.sha256(packed.getvalue()).hexdigest()[:12]}.zip"
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(target, True)
+    out.write(packed.getvalue())
+    out.close()
+    fs.deleteOnExit(target)
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back. This cuts the lineage, keeps the result
     on storage that outlives any executor, and gives the planner exact sizes. The files go when the JVM ends."""

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.periods import sdmx_period, table_period, tsv_period
+from ..session import ship
 
 # Names of columns by role, in upper case.
 TIME_COLUMNS = ("TIME_PERIOD", "TIME", "PERIOD", "DATE")
@@ -135,6 +136,8 @@ def read_zipped_tables(spark: SparkSession, path: str, member: str, period: str,
 
     from pyspark.sql import types as T
 
+    ship(spark)
+
     def lines(batches):
         import pandas as pd
 
@@ -164,6 +167,8 @@ def read_xlsx_rows(spark: SparkSession, path: str) -> DataFrame:
     parsed by one task with the standard library."""
     from .workbook import sheet_rows
 
+    ship(spark)
+
     def run(batches):
         import pandas as pd
 
