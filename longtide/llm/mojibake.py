@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship
+
 # The letters beyond ASCII of each language's alphabet (lower case).
 ALPHABETS = {
     "de": "äöüß",
@@ -251,6 +253,7 @@ def train(words: dict[str, dict[str, int]]) -> Lengths:
 def model_words(values: DataFrame, per_language: int = MODEL_WORDS) -> dict[str, dict[str, int]]:
     """The words beyond ASCII of ``values`` (one text column, ``value``), counted over all of them, once per different
     value; of each language the ``per_language`` most frequent ones. What is collected is bounded by that."""
+    ship(values.sparkSession)
     words = values.filter(F.col("value").rlike("[^\\x00-\\x7F]")).select("value").distinct()
     words = words.select(F.explode(F.array_distinct(F.split("value", WORD_SPLIT_JVM))).alias("word")).filter(F.col("word").rlike("[^\\x00-\\x7F]") & (F.length("word") <= 60))
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))

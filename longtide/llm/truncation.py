@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.skew import fits_broadcast, spread
-from ..session import staged
+from ..session import ship, staged
 
 #: Texts from which the classifier of endings learns, at most.
 SAMPLE_DOCS = 6_000
@@ -245,6 +245,7 @@ def truncated(documents: DataFrame, *, key: str = "doc_id", text: str = "text",
     None): a column with the length that the sender gave; one well above the text's own speaks for a cut. Null and empty
     texts are never cut. Rows keep their multiplicity; other columns are ignored; an empty table gives no rows."""
     spark = documents.sparkSession
+    ship(spark)
     model = spark.sparkContext.broadcast(fit_endings(documents, key, text, sample))
     told = F.col(declared).cast("double") if declared else F.lit(None).cast("double")
     rows = documents.select(
