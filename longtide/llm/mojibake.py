@@ -44,6 +44,8 @@ ALPHABETS = {
 SCRIPTS = {"el": "Ͱ-Ͽἀ-῿", "ru": "А-яЁё", "ar": "؀-ۿ", "cjk": "々぀-ヿ㐀-䶿一-鿿", "ko": "가-힣"}
 #: Signs that belong to no language and stand in clean text.
 SIGNS = "Ø–—‑‐’‘“”„…€£¥§°±×·•«»¡¿½¼¾²³µ©®™№‰−   、。（）：，・％"
+# Words of one letter beyond ASCII in these languages.
+ONE_LETTER = set("àáéèőöüôởувксоиая")
 # Names of encodings. What a text was wrongly read as, and what it was written in.
 READ_AS = ["cp1252", "latin-1", "iso8859-15", "cp1250", "iso8859-2", "cp1251", "cp1254", "cp1257", "cp1253", "mac-roman", "cp437", "cp850", "cp852", "koi8-r", "cp866", "iso8859-5", "gb18030", "big5", "shift_jis", "euc-kr"]
 WRITTEN_IN = ["utf-8", "cp1252", "cp1250", "cp1251", "cp1253", "cp1254", "cp1256", "cp1257", "iso8859-2", "iso8859-5", "koi8-r", "cp866", "mac-roman", "cp437", "cp850", "cp852", "gb18030", "shift_jis", "euc-jp", "big5", "cp1258"]
@@ -57,12 +59,16 @@ MODEL_WORDS = 6_000
 MIN_SHARE = 0.004
 #: Bits of a mark that stands for bytes which were lost on the way.
 LOST_BITS, LONE_LOST_BITS = 11.0, 6.0
+#: Bits of a word of one letter that was never seen.
+LONE_BITS = 6.0
 #: Bits of a blank that does not break the line.
 SPACE_BITS = 5.0
 #: Bytes of one dictionary.
 DICTIONARY_BYTES = 64 << 10
 #: Bits that name a chain: one undone step of UTF-8 read as a single-byte encoding, or of one such encoding for another.
 CHAIN_BITS = {True: 5.0, False: 7.0}
+#: A word that one step turns into one so many times as frequent is not learnt.
+GARBLED_TIMES, LONE_TIMES = 15, 6
 #: Steps of a chain at most.
 STEPS = 4
 
@@ -144,12 +150,13 @@ class Lengths:
         best = 3.0 + math.log2(self.total / n) if (n := self.count.get(word, 0)) > 1 else math.inf
         lost = word.count("�")
         word = word.replace("�", "")
+        alone = LONE_BITS if len(word) == 1 and word not in SIGNS and best == math.inf else 0.0
         odd = sum(not c.isascii() for c in word)
         for lang in self.langs:
             missing = sum(not c.isascii() and c not in self.known[lang] for c in word)
             if missing and missing < odd and best < math.inf:
                 continue
-            bits = 4.0 * max(0, len(self.zstd[lang].compress(word.encode())) - self.empty[lang]) + 0.7 * self.letter_bits(lang, word) + 6 * missing
+            bits = 4.0 * max(0, len(self.zstd[lang].compress(word.encode())) - self.empty[lang]) + 0.7 * self.letter_bits(lang, word) + 6 * missing + alone
             best = min(best, bits + LOST_BITS * lost)
         return best if best < math.inf else 8.0 * len(word.encode())  # nothing was learnt
 
@@ -180,9 +187,18 @@ def undo(word: str, read_as: str, written_in: str) -> str | None:
     return out if out != word else None
 
 
-def steps(word: str, lengths: Lengths) -> dict[tuple[str, str], str]:
+def _lossy(raw: bytes, read_as: str) -> bool:
+    """Could these bytes be UTF-8 of which some were lost? A lone first byte of a dash or quotation mark; or sequences enough
+    beside stray bytes, which should be first bytes that lost what follows."""
+    sequences, strays = len(_SEQUENCE.findall(raw)), _STRAY.findall(_SEQUENCE.sub(b"", raw))
+    if read_as not in LOSSY:
+        return sequences >= max(4, 3 * len(strays))
+    return raw == b"\xe2" or sequences >= len(strays) or sequences >= 1 and all(0xC2 <= x[0] <= 0xF4 for x in strays)
+
+
+def steps(word: str, alphabet: set[str]) -> dict[tuple[str, str], str]:
     """All single steps that give something made of known letters."""
-    out = {}
+    out, lossy = {}, {}
     seen_raw = {}
     only_signs = all(c.isascii() or c in SIGNS for c in word)
     for a in READ_AS:
@@ -199,17 +215,17 @@ def steps(word: str, lengths: Lengths) -> dict[tuple[str, str], str]:
             try:
                 new = raw.decode(b)
             except UnicodeError:
-                alone = raw == b"\xe2"  # of a dash or quotation mark
-                if b != "utf-8" or a not in LOSSY or not alone and len(_SEQUENCE.findall(raw)) < len(_STRAY.findall(_SEQUENCE.sub(b"", raw))):
+                if b != "utf-8" or a in MULTIBYTE or not _lossy(raw, a):
                     continue
-                new = raw.decode(b, "replace")
-            if new == word or ("�" in new and b != "utf-8"):
+                lossy[a, b] = raw.decode(b, "replace")
+                continue
+            if new == word:
                 continue
-            if len(word) == len(new) == 1 and new not in SIGNS and new != "�":
+            if len(word) == len(new) == 1 and new not in SIGNS:
                 continue  # a letter by itself says nothing about another letter
-            if b == "utf-8" or "\u00a0" not in new and all(c in lengths.alphabet or "̀" <= c <= "ͯ" for c in new):
+            if b == "utf-8" or "\u00a0" not in new and all(c in alphabet or "̀" <= c <= "ͯ" for c in new):
                 out[a, b] = new
-    return out
+    return out if any(b == "utf-8" for _, b in out) else out | lossy
 
 
 def restore(value: str, lengths: Lengths) -> tuple[str, list[str], float]:
@@ -244,9 +260,19 @@ def broken(value: str) -> bool:
     return bool(_CONTROL.search(value))
 
 
+def without_garbled(words: dict[str, dict[str, int]], times: int = GARBLED_TIMES) -> dict[str, dict[str, int]]:
+    """The words without those that one undone step turns into a word which is ``times`` as frequent: a garble that occurs
+    often enough would otherwise be learnt as a word of its own."""
+    count = Counter()
+    for w in words.values():
+        count.update(w)
+    alphabet = set(SIGNS) | {c for w in count for c in w + w.lower() + w.upper()} | {chr(i) for i in range(128)}
+    return {lang: {w: n for w, n in ws.items() if w.lower() in ONE_LETTER or max((count.get(new, 0) for new in steps(w, alphabet).values()), default=0) < (times if len(w) > 1 else LONE_TIMES) * n} for lang, ws in words.items()}
+
+
 def train(words: dict[str, dict[str, int]]) -> Lengths:
     lengths = Lengths(words)
-    lengths.steps = lru_cache(30_000)(lambda w: steps(w, lengths))
+    lengths.steps = lru_cache(30_000)(lambda w: steps(w, lengths.alphabet))
     return lengths
 
 
@@ -269,7 +295,7 @@ def model_words(values: DataFrame, per_language: int = MODEL_WORDS) -> dict[str,
     out: dict[str, dict[str, int]] = defaultdict(dict)
     for r in top.toLocalIterator():
         out[r[0]][r[1]] = r[2]
-    return dict(out)
+    return without_garbled(dict(out))
 
 
 #: The model of this Python worker, kept between its tasks.
