@@ -147,3 +147,27 @@ def grain_audit(store: DataFrame, catalogue: DataFrame, by: str = "source_id") -
     j = d(store, "series_key", "n_store").join(d(catalogue, "series_id", "n_catalogue"), by, "full")
     a, b = F.coalesce("n_store", F.lit(0)), F.coalesce("n_catalogue", F.lit(0))
     return j.select(by, a.alias("n_store"), b.alias("n_catalogue"), F.when(a == b, "MATCH").when(a == 0, "MISSING").when(b == 0, "ORPHAN").otherwise("DRIFT").alias("verdict"))
+
+
+def catalogue_ids(changed: DataFrame, catalogue: DataFrame, source: str, separators: tuple[str, ...] = (":", "."), key: str = "series_key") -> DataFrame:
+    """Which catalogue ids changed store keys belong to: the id itself, or an id that the key goes on from after a separator
+    (a flow or table of which it is a part). ``series_key``, ``series_id`` (null: no id), ``how`` (exact, grain or none). An
+    equi-join on the key's own prefixes, of which there are as many as it has parts; the longest one wins."""
+    parts = F.lit(source + ":")
+    full = F.concat(parts, F.col(key))
+    pattern = "[" + "".join("\\" + x for x in separators) + "]"
+    words = F.split(F.col(key), pattern)
+    ends = F.transform(F.sequence(F.lit(1), F.size(words)), lambda n: F.char_length(F.array_join(F.slice(words, 1, n), "-")) + len(source) + 1)
+    p = changed.filter(F.col(key).isNotNull()).select(key).distinct().withColumn("__p", F.explode(F.transform(ends, lambda e: F.substring(full, F.lit(1), e))))
+    ids = catalogue.filter(F.col("source_id") == source).select(F.col("series_id").alias("__p")).distinct().withColumn("series_id", F.col("__p"))
+    hit = p.join(ids, "__p", "left").groupBy(key).agg(F.max_by("series_id", F.char_length("series_id")).alias("series_id"))
+    how = F.when(F.col("series_id").isNull(), "none").when(F.col("series_id") == full, "exact").otherwise("grain")
+    return hit.select(key, "series_id", how.alias("how"))
+
+
+def label_join(measures: DataFrame, labels: DataFrame, code: str, label: str, strict: bool = True) -> DataFrame:
+    """Measures with the label of their code (the greatest of several); codes without one are refused if ``strict``."""
+    one = labels.groupBy(code).agg(F.max(label).alias(label))
+    if strict and (bad := [r[0] for r in measures.select(code).distinct().join(one, code, "left_anti").limit(5).collect()]):
+        raise UnsupportedFilter(f"codes without a label: {bad}")
+    return measures.join(one, code, "left")

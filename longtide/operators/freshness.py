@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import numbered
+
 # Days of a cadence.
 CADENCE_DAYS = {"daily": 1.0, "weekly": 7.0, "monthly": 30.0, "quarterly": 91.0, "annual": 365.0}
 # Cost bands in seconds.
@@ -55,6 +57,11 @@ def overdue_key(last: Column, cadence: Column, now: Column) -> Column:
     return F.when(last.isNull(), float("-inf")).otherwise(-(age / cadence_days(cadence, 30.0)))
 
 
+def turn_order(units: DataFrame, band: Column, key: Column, unit: str = "unit_id") -> DataFrame:
+    """Units in the order of their turn: by cost band, then most overdue first, then by name. Adds ``band`` and ``turn``."""
+    return numbered(units.withColumn("band", band).withColumn("__k", key), "turn", "band", "__k", unit).drop("__k")
+
+
 def cost_band(cost: Column) -> Column:
     """Band of a cost: 0 for unknown and cheap ones, up to 3."""
     return F.when(cost.isNull() | (cost < BANDS[0]), 0).when(cost < BANDS[1], 1).when(cost < BANDS[2], 2).otherwise(3)
@@ -145,9 +152,29 @@ def select_flows(catalogue: DataFrame, state: DataFrame, redo: list[str], cap: i
     return top.withColumn("place", F.row_number().over(w)).crossJoin(F.broadcast(n)).select("flow_id", "reason", "place", (F.col("n_due") > cap).alias("capped"))
 
 
-def rotate_after(items: DataFrame, order: str, bookmark) -> DataFrame:
-    """Items in their order, begun after the bookmark and around to it: adds ``turn`` (0: after it, 1: up to it)."""
-    return items.withColumn("turn", F.when(F.col(order) > F.lit(bookmark), 0).otherwise(1)).orderBy("turn", order)
+def rotate_after(items: DataFrame, name: str, position: str, bookmark: str | None) -> DataFrame:
+    """Items begun after the bookmarked one and around to it: ``place``, from 1. Without a bookmark, or with one that no item
+    bears, they keep their order. The first of several items of that name counts."""
+    at = items.filter(F.col(name) == F.lit(bookmark)).agg(F.min(position).alias("__at"))  # one row
+    turn = F.coalesce((F.col(position) <= F.col("__at")).cast("int"), F.lit(0))
+    turned = items.crossJoin(F.broadcast(at)).withColumn("__turn", turn).drop("__at")
+    return numbered(turned, "place", "__turn", position).drop("__turn")
+
+
+def retry_order(queue: DataFrame) -> DataFrame:
+    """A queue of retries, least tried first, then oldest: adds ``place``."""
+    return numbered(queue, "place", "attempts", "enqueued", "id")
+
+
+def retry_plan(flows: DataFrame, now: Column, slice_size: int) -> DataFrame:
+    """What becomes of each flow: ``retry`` (failed, its wait is over, among the ``slice_size`` whose failure is oldest),
+    ``waiting`` (past that slice), ``backed_off``, or its own class. ``flow_id``, ``class`` (fresh, redo, failed, too_big),
+    ``fails``, ``failed_at``, ``position``. The slice is the feature."""
+    due = F.col("failed_at").isNull() | ((_us(now) - _us("failed_at")) / 3600e6 >= retry_wait_hours(F.col("fails")))
+    f = flows.withColumn("__due", (F.col("class") == "failed") & due)
+    rank = numbered(f.filter("__due"), "__r", F.col("failed_at").asc_nulls_first(), "position").select("flow_id", "__r")
+    plan = F.when(F.col("__r") <= slice_size, "retry").when(F.col("__r").isNotNull(), "waiting").when(F.col("class") == "failed", "backed_off").otherwise(F.col("class"))
+    return f.join(rank, "flow_id", "left").select("flow_id", plan.alias("plan"))
 
 
 def footer_class(old_rows: Column, new_rows: Column, old_max: Column, new_max: Column) -> Column:

@@ -229,3 +229,14 @@ def rebuild_refusals(old: DataFrame, new: DataFrame, cutoff: str, allowed: list[
     gone = dropped_series(old_tail, new_tail, keys[0], list(allowed)).limit(5).collect()
     checks = [(a != b, "rows before the window differ"), (n_new == 0, "the new tail is empty"), (bool(gone), f"series vanish: {[r[0] for r in gone]}"), (lost > n_old * floor_bp // 10_000, f"{lost} of {n_old} tail rows are lost")]
     return [why for bad, why in checks if bad]
+
+
+def key_runs(df: DataFrame, keys: list[str] = KEYS, order: str = "row_no") -> DataFrame:
+    """Rows numbered by run of equal keys in key order: ``run`` (from 0) and ``last`` (the last row of its run). Null equals
+    null. Runs are numbered within the first key, so that no window spans the table."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(keys[0]).orderBy(*[F.col(k).asc_nulls_last() for k in keys[1:]], order)
+    before, after = F.lag("__k").over(w), F.lead("__k").over(w)
+    out = df.withColumn("__k", F.struct(*keys)).withColumn("__new", (before.isNull() | ~before.eqNullSafe(F.col("__k"))).cast("int")).withColumn("last", after.isNull() | ~after.eqNullSafe(F.col("__k")))
+    return out.withColumn("run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 1).drop("__k", "__new")

@@ -596,11 +596,9 @@ def cadence_due(spark, d):
 
 @query(f"""SELECT unit_id, band, row_number() OVER (ORDER BY band, k, unit_id) AS turn FROM (SELECT unit_id, CASE WHEN cost IS NULL OR cost < 10 THEN 0 WHEN cost < 20 THEN 1 ELSE 2 END AS band, CASE WHEN last_success IS NULL THEN '-infinity'::DOUBLE ELSE -({_age('last_success')} / {_DAYS} ELSE 30.0 END) END AS k FROM {_UNITS})""")
 def overdue_order(spark, d):
-    from pyspark.sql import Window
-
     band = F.when(F.col("cost").isNull() | (F.col("cost") < 10), 0).when(F.col("cost") < 20, 1).otherwise(2)
-    u = _units(spark, d).select("unit_id", band.alias("band"), fresh.overdue_key(F.col("last_success"), F.col("cadence"), _now()).alias("k"))
-    return u.withColumn("turn", F.row_number().over(Window.orderBy("band", "k", "unit_id"))).drop("k")
+    key = fresh.overdue_key(F.col("last_success"), F.col("cadence"), _now())
+    return fresh.turn_order(_units(spark, d), band, key).select("unit_id", "band", "turn")
 
 
 @query(f"""WITH x AS (SELECT id, ts, greatest(0, {_age('ts')}) AS age FROM {RUNS}) SELECT id, round(greatest(0, age - (SELECT count(*) FROM range(CAST(CAST(ts AS DATE) AS TIMESTAMP), TIMESTAMP '2024-02-01', INTERVAL 1 DAY) t(q) WHERE isodow(q) >= 6)), 6) AS business_age FROM x""")

@@ -89,3 +89,12 @@ def test_rebuild_refusals(spark):
     bad = spark.createDataFrame([("a", DAY, 9.0), ("a", DAY + timedelta(days=40), 2.0)], s)
     assert len(merge.rebuild_refusals(old, bad, "2020-02-01")) == 3
     assert len(merge.rebuild_refusals(old, bad, "2020-02-01", allowed=["b"], floor_bp=9000)) == 1
+
+
+def test_numbered_in_ranges(spark):
+    from longtide.operators.ordering import numbered
+
+    df = spark.range(500).select((F.col("id") * 7919 % 500).alias("k"), F.lit("x").alias("v")).repartition(6)
+    for bound in (10, 10_000):
+        got = numbered(df, "place", F.col("k").desc(), one_task=bound).collect()
+        assert sorted((500 - r["k"], r["place"]) for r in got) == [(i, i) for i in range(1, 501)]
