@@ -176,8 +176,11 @@ def key_overlap(old: DataFrame, new: DataFrame, keys: list[str] = KEYS, value: s
 
 
 def multiset_union(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
-    """Every row as often as the side that holds it most; nulls equal."""
-    return key_counts(left, right, cols).select(*cols, F.explode(F.array_repeat(F.lit(1), F.greatest("n_old", "n_new").cast("int"))).alias("__n")).drop("__n")
+    """Every row as often as the side that holds it most; nulls equal. Copies are written out in blocks, so a row that stands a
+    billion times never becomes one array."""
+    n, block = F.greatest("n_old", "n_new"), 4096
+    blocks = key_counts(left, right, cols).select(*cols, n.alias("__n"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / block))).alias("__b"))
+    return blocks.select(*cols, F.explode(F.array_repeat(F.lit(1), F.least(F.lit(block), F.col("__n") - F.col("__b") * block).cast("int"))).alias("__i")).drop("__i")
 
 
 def supersede(old: DataFrame, new: DataFrame, key: Column, keys: list[str] = KEYS) -> DataFrame:

@@ -103,9 +103,8 @@ def crosswalk(left: DataFrame, right: DataFrame, key: str = "series_key", date:
     joined in full; what remains is summed per pair before pairs are ranked."""
     norm = lambda d: d.filter(F.col(key).isNotNull() & F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(F.col(key).alias("k"), F.col(date).alias("d"), F.round(value, digits).alias("v")).distinct()
     l, r = norm(left), norm(right)
-    thin = r.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("d", "v")))
-    r2 = thin.filter(F.col("c") <= fanout).select(F.col("k").alias("k2"), "d", "v")
-    l2 = l.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("d", "v"))).filter(F.col("c") <= fanout).drop("c")
+    thin = lambda d: d.join(d.groupBy("d", "v").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") <= fanout), ["d", "v"], "left_semi")
+    l2, r2 = thin(l), thin(r).withColumnRenamed("k", "k2")
     pairs = l2.join(r2, ["d", "v"]).groupBy("k", "k2").agg(F.count(F.lit(1)).alias("n_agree"))
     w = Window.partitionBy("k").orderBy(F.col("n_agree").desc(), "k2")
     best = pairs.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= top)

@@ -59,19 +59,29 @@ def same_period(left: DataFrame, right: DataFrame, *, left_grain: str, left_stam
     return l.join(r, [*on, "__p"], "left").drop("__p")
 
 
-def last_known(rows: DataFrame, values: DataFrame, *, on: list[str], row_at: str, known_at: str, order: list[str], value: str = "value", out: str = "known_value") -> DataFrame:
+def last_known(rows: DataFrame, values: DataFrame, *, on: list[str], row_at: str, known_at: str, order: list[str], value: str = "value", out: str = "known_value", bucket: str = "month") -> DataFrame:
     """Beside each row, the value of its series with the latest availability at or before the row's start; among several of
-    one instant, the last by ``order``. One pass: both sides in one window per series, no range join. Both ``on`` and
-    ``row_at`` must be set for a row to get a value. A series whose rows do not fit one task is windowed with spilling."""
+    one instant, the last by ``order``. Both ``on`` and ``row_at`` must be set for a row to get a value.
+
+    No range join: rows and values meet in one window per series and calendar ``bucket``, so that a series with a third of
+    all rows is still many tasks; what a bucket inherits from those before it comes from one row per bucket."""
     cols = [c for c in rows.columns if c not in on]
-    l = rows.select(*on, F.col(row_at).cast("timestamp").alias("__t"), F.lit(1).alias("__side"), F.lit(None).cast(values.schema[value].dataType).alias("__v"), F.struct(*cols).alias("__row"), *[F.lit(None).cast(values.schema[o].dataType).alias(f"__o{i}") for i, o in enumerate(order)])
-    r = values.filter(F.col(known_at).isNotNull()).select(*on, F.col(known_at).cast("timestamp").alias("__t"), F.lit(0).alias("__side"), F.col(value).alias("__v"), F.lit(None).cast(l.schema["__row"].dataType).alias("__row"), *[F.col(o).alias(f"__o{i}") for i, o in enumerate(order)])
-    w = Window.partitionBy(*on).orderBy("__t", "__side", *[f"__o{i}" for i in range(len(order))]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = l.unionByName(r).withColumn("__known", F.last(F.when(F.col("__side") == 0, F.struct("__v")), ignorenulls=True).over(w))
-    ok = F.col("__t").isNotNull()
+    os_ = [f"__o{i}" for i in range(len(order))]
+    none = lambda df, c: F.lit(None).cast(df.schema[c].dataType)
+    l = rows.select(*on, F.col(row_at).cast("timestamp").alias("__t"), F.lit(1).alias("__side"), none(values, value).alias("__v"), F.struct(*cols).alias("__row"), *[none(values, o).alias(n) for o, n in zip(order, os_, strict=True)])
+    r = values.filter(F.col(known_at).isNotNull()).select(*on, F.col(known_at).cast("timestamp").alias("__t"), F.lit(0).alias("__side"), F.col(value).alias("__v"), F.lit(None).cast(l.schema["__row"].dataType).alias("__row"), *[F.col(o).alias(n) for o, n in zip(order, os_, strict=True)])
+    both = l.unionByName(r).withColumn("__b", F.date_trunc(bucket, "__t"))
+    w = Window.partitionBy(*on, "__b").orderBy("__t", "__side", *os_).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = both.withColumn("__known", F.last(F.when(F.col("__side") == 0, F.struct("__v")), ignorenulls=True).over(w)).filter("__side = 1")
+    set_ = F.lit(True)
     for k in on:
-        ok = ok & F.col(k).isNotNull()
-    return both.filter("__side = 1").select(*on, "__row.*", F.when(ok, F.col("__known.__v")).alias(out))
+        set_ = set_ & F.col(k).isNotNull()
+    per = both.filter(set_ & F.col("__b").isNotNull()).groupBy(*on, "__b").agg(F.max(F.when(F.col("__side") == 0, F.struct("__t", *os_, "__v"))).alias("__x"))
+    past = Window.partitionBy(*on).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per.select(*on, "__b", F.last("__x", ignorenulls=True).over(past).alias("__c"))
+    j = here.join(carry, [*on, "__b"], "left")
+    known = F.when(F.col("__known").isNotNull(), F.col("__known.__v")).otherwise(F.col("__c.__v"))
+    return j.select(*on, "__row.*", F.when(set_ & F.col("__t").isNotNull(), known).alias(out))
 
 
 def last_complete(rows: DataFrame, *, by: str, start: str, last_day: str, through: str) -> DataFrame:

@@ -158,7 +158,7 @@ def _returns_sql(minutes: int) -> str:
   a AS (SELECT ticker, day, sum(r * r) AS rv1, covar_samp(r, p) AS cov, corr(r, p) AS ac1, var_samp(r) AS v1, stddev_samp(r) AS sd FROM o GROUP BY ALL),
   b AS (SELECT ticker, day, sum(r * r) AS rv5, pi() / 2 * sum(abs(r) * abs(p)) AS bv5, count(*) AS m, sum(pow(abs(r) * abs(p) * abs(pp), 4.0 / 3)) AS q, var_samp(r) AS v5 FROM f GROUP BY ALL),
   z AS (SELECT *, sqrt(m) * (1 - bv5 / rv5) / sqrt({intraday.THETA} * greatest(1.0, m * {intraday.MU43**-3} * q / (bv5 * bv5))) AS z FROM a LEFT JOIN b USING (ticker, day) LEFT JOIN t USING (ticker, day))
-  SELECT ticker, day, round(rv5, 7) AS rv5, round(rv1, 7) AS rv1, round(bv5, 7) AS bv5, round(z, 7) AS bns_z, (z > 2.326)::INT AS jump_1, (z > 1.645)::INT AS jump_5, round(CASE WHEN cov < 0 THEN 2 * sqrt(-cov) * 10000 END, 7) AS roll_bp, round(ac1, 7) AS ac1, round(v5 / (5 * v1), 7) AS vr5, round(v10 / (10 * v1), 7) AS vr10, round(sd, 7) AS ret_std FROM z""")
+  SELECT ticker, day, round(rv5, 7) AS rv5, round(rv1, 7) AS rv1, round(bv5, 7) AS bv5, round(z, 7) AS bns_z, (z > 2.326)::INT AS jump_1, (z > 1.645)::INT AS jump_5, round(CASE WHEN cov < 0 THEN 2 * sqrt(-cov) * 10000 END, 7) AS roll_bp, round(CASE WHEN NOT isnan(ac1) THEN ac1 END, 7) AS ac1, round(v5 / (5 * v1), 7) AS vr5, round(v10 / (10 * v1), 7) AS vr10, round(sd, 7) AS ret_std FROM z""")
 def intraday_returns(spark, d):
     return _rounded(intraday.return_measures(_bars(spark, d)))
 

@@ -98,3 +98,10 @@ def test_numbered_in_ranges(spark):
     for bound in (10, 10_000):
         got = numbered(df, "place", F.col("k").desc(), one_task=bound).collect()
         assert sorted((500 - r["k"], r["place"]) for r in got) == [(i, i) for i in range(1, 501)]
+
+
+def test_many_copies(spark):
+    a = spark.range(10_000).select(F.lit("x").alias("k"))
+    b = spark.createDataFrame([("x",), ("y",), (None,), (None,)], "k string")
+    got = {r[0]: r[1] for r in merge.multiset_union(a, b, ["k"]).groupBy("k").count().collect()}
+    assert got == {"x": 10_000, "y": 1, None: 2}
