@@ -20,8 +20,9 @@ from ..session import ship
 
 #: Facts of a shard, on average: what one tree holds in memory.
 SHARD_FACTS = 50_000
-#: A shard asked more than this share of all questions is answered by several tasks, each with its own copy of the tree.
-HOT_SHARE = 0.004
+#: Questions that one task answers, or twice what a shard is asked on average, if that is more. A shard that is asked more than
+#: twice as many, and more than HOT_SHARE of all, is answered by several tasks, each with its own copy of the tree.
+TASK_EVENTS, HOT_SHARE = 100_000, 0.001
 
 
 def as_known(
@@ -56,9 +57,9 @@ def as_known(
     n_facts, n_events = facts.count(), events.count()
     shards = max(1, -(-n_facts // shard_facts))
     shard = F.pmod(F.xxhash64("k_entity", "k_valid"), F.lit(shards)).cast("int")
-    cut = max(1000, int(n_events * HOT_SHARE))
-    asked = q.groupBy(shard.alias("shard")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 2 * cut)
-    hot = asked.select("shard", F.ceil(F.col("n") / cut).cast("int").alias("splits")).collect()  # at most 1 / (2 HOT_SHARE) rows
+    cut = max(TASK_EVENTS, 2 * n_events // shards)
+    asked = q.groupBy(shard.alias("shard")).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 2 * cut) & (F.col("n") > n_events * HOT_SHARE))
+    hot = asked.select("shard", F.ceil(F.col("n") / cut).cast("int").alias("splits")).collect() if n_events > 2 * cut else []  # at most 1 / HOT_SHARE rows
     splits = F.coalesce(F.create_map(*[F.lit(x) for r in hot for x in r])[shard], F.lit(1)) if hot else F.lit(1)
     f = f.select("*", shard.alias("shard"), F.explode(F.sequence(F.lit(0), splits - 1)).alias("salt"))
     q = q.select("*", shard.alias("shard"), F.pmod(F.xxhash64("day", F.monotonically_increasing_id()), splits).cast("int").alias("salt"))

@@ -59,12 +59,13 @@ def brute_known(facts, reads, inclusive=False):
 @pytest.mark.parametrize("seed,hot,inclusive", [(1, 0.0, False), (2, 0.6, False), (3, 0.3, True)])
 def test_as_known_is_brute_force(spark, seed, hot, inclusive, monkeypatch):
     facts, reads = facts_and_reads(seed, hot=hot)
-    monkeypatch.setattr(asof, "HOT_SHARE", 0.0)
+    monkeypatch.setattr(asof, "TASK_EVENTS", 10)
     got = as_known(spark.createDataFrame(reads, R_SCHEMA).repartition(3), spark.createDataFrame(facts, F_SCHEMA).repartition(5), inclusive=inclusive, shard_facts=25)
     assert sorted(map(tuple, got.collect())) == brute_known(facts, reads, inclusive)
 
 
 def test_as_known_salts_hot_shards(spark, monkeypatch):
+    monkeypatch.setattr(asof, "TASK_EVENTS", 500)
     reads = [(i, "m", DAY, datetime(2020, 1, 9, tzinfo=timezone.utc), None) for i in range(5000)]
     facts = [(i, "m", DAY, 1.0, DAY + timedelta(days=i % 5), "") for i in range(300)]
     got = as_known(spark.createDataFrame(reads, R_SCHEMA), spark.createDataFrame(facts, F_SCHEMA), shard_facts=50)
