@@ -101,26 +101,19 @@ class Endings:
         return float(self.weights[features(text, self.known)].sum())
 
     @classmethod
-    def fit(cls, examples: list[tuple[str, int, float]], known: set[str], epochs: int = 8, rate: float = 0.15, l2: float = 2e-5) -> Endings:
-        rows = [features(t, known) for t, _, _ in examples]
-        width = max(map(len, rows), default=1)
-        x = np.full((len(rows), width), BUCKETS, dtype=np.int64)
-        for i, r in enumerate(rows):
-            x[i, : len(r)] = r
-        y, wt = np.array([e[1] for e in examples], dtype=float), np.array([e[2] for e in examples])
+    def fit(cls, x: np.ndarray, y: np.ndarray, wt: np.ndarray, known: set[str], epochs: int, rate: float = 0.15, l2: float = 2e-5) -> Endings:
+        """``x``: features of each example, filled up with BUCKETS, whose weight stays 0."""
         w, g2 = np.zeros(BUCKETS + 1), np.full(BUCKETS + 1, 1e-6)
         rng = np.random.default_rng(0)
         for _ in range(epochs):
-            order = rng.permutation(len(rows))
-            for a in range(0, len(rows), 256):
+            order = rng.permutation(len(x))
+            for a in range(0, len(x), 256):
                 i = order[a : a + 256]
+                at, back = np.unique(x[i], return_inverse=True)
                 p = 1 / (1 + np.exp(-w[x[i]].sum(axis=1)))
-                g = np.zeros_like(w)
-                np.add.at(g, x[i].ravel(), np.repeat((p - y[i]) * wt[i], width))
-                at = np.unique(x[i])
-                g[at] += l2 * len(i) * w[at]
-                g2[at] += g[at] ** 2
-                w[at] -= rate * g[at] / np.sqrt(g2[at])
+                g = np.bincount(back.ravel(), weights=np.repeat((p - y[i]) * wt[i], x.shape[1]), minlength=len(at)) + l2 * len(i) * w[at]
+                g2[at] += g**2
+                w[at] -= rate * g / np.sqrt(g2[at])
                 w[BUCKETS] = 0.0
         return cls(known, w[:BUCKETS].astype(np.float32))
 
@@ -171,19 +164,27 @@ def fit_endings(documents: DataFrame, key: str, text: str, sample: int = SAMPLE_
             for w in {x.lower() for x in _TOKEN.findall(t)[:-1] if x[0].isalpha()}:
                 seen[w] = seen.get(w, 0) + 1
     known = {w for w, c in seen.items() if c >= max(4, len(rows) // 8000)}
-    return _fit_cleaned(rows, known) if rows else Endings(set(), np.zeros(BUCKETS, dtype=np.float32))
-
-
-def _fit_cleaned(rows: list[tuple[str, int, float]], known: set[str]) -> Endings:
+    if not rows:
+        return Endings(set(), np.zeros(BUCKETS, dtype=np.float32))
+    x = np.full((len(rows), 32), BUCKETS, dtype=np.int32)
+    for n, (t, _, _) in enumerate(rows):
+        f = features(t, known)
+        x[n, : len(f)] = f
+    half = np.array([crc32(t[-60:].encode()) % 2 for t, _, _ in rows])
+    stop = np.array([final_stop(t) for t, _, _ in rows])
+    return _fit_cleaned(x, np.array([y for _, y, _ in rows]), np.array([w for _, _, w in rows]), half, stop, known)
+
+
+def _fit_cleaned(x: np.ndarray, y: np.ndarray, wt: np.ndarray, half: np.ndarray, stop: np.ndarray, known: set[str]) -> Endings:
     """Texts that were cut would teach their own endings as whole. So each half judges the other's first, and what it takes
     for cut is left out."""
-    half = [[r for r in rows if crc32(r[0][-60:].encode()) % 2 == h] for h in (0, 1)]
-    kept = [r for r in rows if r[1] < 2]
+    keep = y < 2
     for h in (0, 1):
-        own = [(t, min(y, 1) if y < 2 else 0, w if y < 2 else 0.35) for t, y, w in half[h]]
-        judge = Endings.fit(own, known, epochs=3) if own else None
-        kept += [(t, 0, w) for t, y, w in half[1 - h] if y == 2 and (final_stop(t) or judge is None or judge.log_odds(t) < 0.5)]
-    return Endings.fit(sorted(kept), known, epochs=6)
+        own, others = half == h, np.flatnonzero((half != h) & (y == 2))
+        judge = Endings.fit(x[own], (y[own] == 1).astype(float), np.where(y[own] == 2, 0.35, wt[own]), known, epochs=3)
+        odds = np.r_[judge.weights, np.float32(0)][x[others]].sum(axis=1)
+        keep[others[stop[others] | (odds < 0.5)]] = True
+    return Endings.fit(x[keep], (y[keep] == 1).astype(float), wt[keep], known, epochs=6)
 
 
 def fit_lengths(n: float, s1: float, s2: float, censored: list[tuple[float, float]], rounds: int = 60) -> tuple[float, float]:
@@ -205,10 +206,11 @@ def fit_lengths(n: float, s1: float, s2: float, censored: list[tuple[float, floa
 
 
 def censoring_posterior(length: int, at: float, total: float, mu: float, sd: float) -> float:
-    """The share of the ``at`` texts of exactly this length, of ``total``, that the law of whole lengths does not explain."""
+    """The share of the ``at`` texts of exactly this length, of ``total``, that the law of whole lengths does not explain, less
+    what chance and copies of a text pile up among many lengths (three standard deviations and three texts)."""
     z = (math.log(max(length, 1)) - mu) / sd
     whole = total * math.exp(-0.5 * z * z) / (sd * math.sqrt(2 * math.pi) * max(length, 1))
-    return min(max(1 - whole / at, 0.0), 0.995)
+    return min(max(1 - (whole + 3 * math.sqrt(whole) + 3) / at, 0.0), 0.995)
 
 
 def limits_by_source(documents: DataFrame, source: str, text: str) -> DataFrame:
