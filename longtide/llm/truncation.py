@@ -35,6 +35,7 @@ BUCKETS = 1 << 17
 _MARK = re.compile(r"(?:…|\.\.\.+|\[\s*(?:…|\.\.\.)\s*\])$")
 _CLOSERS = re.compile(r"(?:\s+|</\w+\s*>|<br\s*/?>|\*\*|__|```|&nbsp;)$")
 _TOKEN = re.compile(r"\d+|[^\W\d_]+|[^\w\s]|_")
+_OPEN_NUMBER = re.compile(r"[,;|\t]-?\d+\.$")
 _FINAL = re.compile(r"[.!?。！？؟][\"'”’»)\]]*$")
 
 
@@ -55,7 +56,7 @@ def final_stop(text: str) -> bool:
     if not _FINAL.search(text):
         return False
     line = text.rsplit("\n", 1)[-1]
-    return not (re.search(r"[,;|\t]-?\d+\.$", line))
+    return not _OPEN_NUMBER.search(line)
 
 
 def _norm(token: str, known: set[str]) -> str:
@@ -275,6 +276,8 @@ def truncated(documents: DataFrame, *, key: str = "doc_id", text: str = "text",
                     odds.append(4.0 if marked else -20.0)
                     continue
                 x = min(max(m.log_odds(bare), -8.0), 8.0) + (8.0 if marked else CLOSED_ODDS if len(bare) < len(tail) else 0.0)
+                if _OPEN_NUMBER.search(bare[-40:].rsplit("\n", 1)[-1]):
+                    x += CLOSED_ODDS  # a number that stops at its point
                 if told_n is not None and told_n == told_n and told_n > chars + 30 and told_n > 1.03 * chars:
                     x += 3.0
                 odds.append(x)
