@@ -23,11 +23,13 @@ def content_fingerprint(cols: list[str]) -> Column:
     return F.sum(row_hash64(cols).cast("decimal(38,0)"))
 
 
-def exact_token(values: list[str]) -> Column:
-    """A bigint that tells values apart in comparisons between neighbours: for one column, a 64-bit hash of the value
-    with zeros and NaN normalised (hash('xxhash64') of eight bytes is a bijection, so unequal doubles never collide);
-    null has no token. For several columns, a hash of all with their null marks."""
+def exact_token(values: list[str], kinds: dict[str, str]) -> Column:
+    """A column that tells values apart in null-safe comparisons between neighbours. One number, date or truth value is its own
+    exact hash (null equals null, NaN equals NaN, zeros are equal) and packs better than a scrambled one; one text or other value
+    is a 64-bit hash, null for null; several values are a hash of all with their null marks."""
     if len(values) == 1:
         v = F.col(values[0])
+        if kinds[values[0]] in ("double", "float", "bigint", "int", "smallint", "tinyint", "date", "boolean", "timestamp", "timestamp_ntz"):
+            return v
         return F.when(v.isNotNull(), F.xxhash64(v))
     return row_hash64(list(values))

@@ -16,7 +16,7 @@ from ..functions.hashing import exact_token
 def latest_rows(deliveries: DataFrame, keys: list[str], snapshot: str, order: str, values: list[str]) -> DataFrame:
     """One row per key and snapshot, the one with the highest ``order``. Repeated rows, a third of the table under
     one key too, are combined before the exchange. Rows without an ``order`` lose against any with one."""
-    token = exact_token(values)
+    token = exact_token(values, dict(deliveries.dtypes))
     rank = F.coalesce(F.col(order).cast("bigint"), F.lit(-(2**63)))
     return deliveries.groupBy(*keys, snapshot).agg(F.max_by(token, rank).alias("token"))
 
