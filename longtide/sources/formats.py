@@ -85,6 +85,19 @@ def read_sdmx_xml(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("series_key", sdmx_period(F.col("o._TIME_PERIOD").cast("string")).alias("obs_date"), number(F.col("o._OBS_VALUE").cast("string")).alias("value")).filter(F.col("obs_date").isNotNull() & F.col("value").isNotNull())
 
 
+def read_sdmx_generic_xml(spark: SparkSession, path: str) -> DataFrame:
+    """SDMX-ML generic data: Series with a SeriesKey of Values (id, value) and Obs with ObsDimension and ObsValue. Whatever the
+    prefixes of its elements."""
+    pair = "array<struct<_id:string,_value:string>>"
+    schema = f"SeriesKey struct<Value:{pair}>, Obs array<struct<ObsDimension:struct<_value:string>,ObsValue:struct<_value:string>>>"
+    df = spark.read.format("xml").option("rowTag", "Series").option("ignoreNamespace", True).option("attributePrefix", "_").schema(schema).load(path)
+    dims = F.filter("SeriesKey.Value", lambda v: (F.coalesce(v["_value"], F.lit("")) != "") & ~v["_id"].isin(*NOT_DIMENSIONS))
+    key = F.array_join(F.transform(dims, lambda v: F.concat(v["_id"], F.lit("="), v["_value"])), ":")
+    rows = df.select(key.alias("series_key"), F.explode("Obs").alias("o"))
+    out = rows.select("series_key", sdmx_period(F.col("o.ObsDimension._value")).alias("obs_date"), number(F.col("o.ObsValue._value")).alias("value"))
+    return out.filter(F.col("obs_date").isNotNull() & F.col("value").isNotNull())
+
+
 def jsonstat_rows(texts: DataFrame, time: str, column: str = "text") -> DataFrame:
     """JSON-stat2 cubes, one per row: ``series_key`` (dim=code of all but the time dimension), ``obs_date``, ``value``. A place in
     the flat value array becomes coordinates by its strides; the category index may be a list or a map. Nulls and codes that

@@ -57,6 +57,13 @@ def test_sdmx_xml(spark, tmp_path):
     assert rows(formats.read_sdmx_xml(spark, str(p))) == [("FREQ=A:GEO=DE", D(2020, 12, 31), 1.0), ("FREQ=A:GEO=FR", D(2020, 12, 31), 3.0)]
 
 
+def test_sdmx_generic_xml(spark, tmp_path):
+    p = tmp_path / "g.xml"
+    one = '<g:Obs><g:ObsDimension value="{}"/><g:ObsValue value="{}"/></g:Obs>'
+    p.write_text('<m:D xmlns:m="m" xmlns:g="g"><m:DataSet><g:Series><g:SeriesKey><g:Value id="FREQ" value="Q"/><g:Value id="GEO" value="DE"/></g:SeriesKey>' + one.format("2020-Q2", "1.5") + one.format("2020-Q3", "NaN") + one.format("x", "2") + "</g:Series></m:DataSet></m:D>")
+    assert rows(formats.read_sdmx_generic_xml(spark, str(p))) == [("FREQ=Q:GEO=DE", D(2020, 4, 1), 1.5)]
+
+
 def test_jsonstat(spark):
     cube = {"id": ["sex", "time"], "size": [2, 2], "value": [1, 2, None, 4], "dimension": {"sex": {"category": {"index": {"F": 1, "M": 0}}}, "time": {"category": {"index": ["2020", "2021"]}}}}
     df = spark.createDataFrame([(json.dumps(cube),)], "text string")
