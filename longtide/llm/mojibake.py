@@ -69,6 +69,8 @@ DICTIONARY_BYTES = 64 << 10
 CHAIN_BITS = {True: 5.0, False: 7.0}
 #: A word that one step turns into one so many times as frequent is not learnt.
 GARBLED_TIMES, LONE_TIMES = 15, 6
+#: Characters that are weighed at once; a longer run without blanks is cut.
+LONG_WORD = 300
 #: Steps of a chain at most.
 STEPS = 4
 
@@ -230,7 +232,7 @@ def steps(word: str, alphabet: set[str]) -> dict[tuple[str, str], str]:
 
 def restore(value: str, lengths: Lengths) -> tuple[str, list[str], float]:
     """The value with the shortest description, the chain that leads to it (empty: left unchanged), and the bits saved."""
-    parts = _SPLIT.split(value)
+    parts = [p for w in _SPLIT.split(value) for p in ([w] if len(w) <= LONG_WORD else [w[i : i + LONG_WORD] for i in range(0, len(w), LONG_WORD)])]
     chain, saved = [], 0.0
     for _ in range(STEPS):
         gains: dict[tuple[str, str], float] = defaultdict(float)

@@ -1,7 +1,7 @@
 """Filling fixed-capacity containers with items (problem 6).
 
 Hierarchical residual packing: every partition of the corpus packs its own items best-fit, largest first, and is done with
-the containers that are nearly full. The items of the others stay together as one lump each; lumps of several partitions
+the containers that are nearly full, or that nothing is left to fill with. The items of the others stay together as one lump each; lumps of several partitions
 are packed best-fit again, and so on up a tree, until one task holds the few that are left."""
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ from .tokens import TOKENIZER, counter
 CAPACITY = 2_048
 #: A container that is filled to this share goes out.
 NEARLY_FULL = 0.995
+#: Containers more than half full that a task passes up, the emptiest ones; with the at most one that is emptier still, this bounds
+#: what any task of the tree holds. The others go out as they are: nothing small was left to fill them with.
+PASS_UP = 64
 #: Groups of lumps that one task takes in a round of the tree.
 FAN_IN = 16
 #: Items that are packed at a time within a partition, which bounds a task's memory.
@@ -53,6 +56,14 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
     return bins, offsets, np.array(loads, dtype=np.int64)
 
 
+def going_out(loads: np.ndarray, capacity: int, nearly: float) -> np.ndarray:
+    """Which containers a task is done with: the nearly full ones, and those over half full beyond the ``PASS_UP`` emptiest."""
+    out = loads >= nearly * capacity
+    half = np.flatnonzero(~out & (2 * loads > capacity))
+    out[half[np.argsort(loads[half], kind="stable")[PASS_UP:]]] = True
+    return out
+
+
 def _pieces(n: int, capacity: int) -> list[int]:
     """Sizes of the pieces of an item; only one that exceeds the capacity has several."""
     return [n] if n <= capacity else [capacity] * (n // capacity) + ([n % capacity] if n % capacity else [])
@@ -80,7 +91,7 @@ def _local(capacity: int, tokenizer: str, chunk: int, nearly: float):
         piece = np.array([i for c in cut for i in range(len(c))], dtype=np.int32)
         bins, offsets, loads = best_fit(sizes, capacity)
         name = [f"{held[0][0]}-{made}-{b}" for b in range(len(loads))]
-        return pd.DataFrame({"k": keys.to_numpy()[of], "piece": piece, "n_tokens": sizes, "lump": np.array(name, dtype=object)[bins], "offset": offsets, "load": loads[bins], "full": loads[bins] >= nearly * capacity})
+        return pd.DataFrame({"k": keys.to_numpy()[of], "piece": piece, "n_tokens": sizes, "lump": np.array(name, dtype=object)[bins], "offset": offsets, "load": loads[bins], "full": going_out(loads, capacity, nearly)[bins]})
 
     return run
 
@@ -92,7 +103,7 @@ def _merge(capacity: int, nearly: float):
         pdf = pdf.sort_values(["load", "lump"], ascending=[False, True], kind="stable").reset_index(drop=True)
         bins, offsets, loads = best_fit(pdf["load"].to_numpy(), capacity)
         first = pdf.groupby(bins)["lump"].min()  # the container bears the name of a lump in it, so names stay unique
-        return pd.DataFrame({"lump": pdf["lump"], "into": first.to_numpy()[bins], "offset": offsets, "load": loads[bins], "full": loads[bins] >= nearly * capacity})
+        return pd.DataFrame({"lump": pdf["lump"], "into": first.to_numpy()[bins], "offset": offsets, "load": loads[bins], "full": going_out(loads, capacity, nearly)[bins]})
 
     return run
 

@@ -35,6 +35,12 @@ def test_best_fit():
         assert np.sum(loads <= cap // 2) - np.sum(loads == 0) <= 1  # best fit leaves at most one bin under half full
 
 
+def test_going_out_bounds_what_is_passed_up():
+    loads = np.array([60] * 500 + [99, 100, 10])
+    out = packing.going_out(loads, 100, 0.99)
+    assert (~out).sum() == packing.PASS_UP + 1 and out[500] and out[501] and not out[502]
+
+
 @pytest.mark.parametrize("fan_in,chunk", [(2, 7), (3, 10_000)])
 def test_pack_small(spark, fan_in, chunk):
     data = [(i % 40, None if i % 17 == 0 else "" if i % 13 == 0 else "word " * (i * 7 % 90), "x") for i in range(300)] + [(1000, "many words " * 400, "x")]
