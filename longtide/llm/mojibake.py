@@ -59,6 +59,8 @@ MODEL_WORDS = 6_000
 MIN_SHARE = 0.004
 #: Bits of a mark that stands for bytes which were lost on the way.
 LOST_BITS, LONE_LOST_BITS = 11.0, 6.0
+#: A word is known, and priced by its frequency, from this share of all counted words (and from two) on.
+KNOWN_SHARE = 4e-5
 #: Bits of a word of one letter that was never seen.
 LONE_BITS = 6.0
 #: Bits of a blank that does not break the line.
@@ -78,6 +80,9 @@ _SPLIT = re.compile(r"([ \t\r\n()\[\],:;/|=]+)")
 _CONTROL = re.compile("[\x80-\x9f�]")
 #: Sequences of UTF-8, the last byte or two of which may be lost; and bytes that are no part of one.
 _SEQUENCE, _STRAY = re.compile(rb"[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{1,2}|[\xf0-\xf4][\x80-\xbf]{1,3}"), re.compile(rb"[\x80-\xff]")
+_COMPLETE = re.compile(rb"[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}")
+#: A sign between letters that words do not have there.
+_MISPLACED = re.compile("[A-Za-z][" + re.escape("".join(c for c in SIGNS if c not in "–—‑‐’‘·\u00ad\u00a0\u2009\u202f\u3000")) + "][A-Za-z]")
 WORD_SPLIT_JVM = r"[ \t\r\n()\[\],:;/|=]+"
 
 
@@ -88,11 +93,11 @@ def language_of(word: str) -> str | None:
     if any(not c.isalpha() and not c.isascii() and c not in SIGNS and not "\u0300" <= c <= "\u036f" and c != "\u00ad" for c in word):
         return None
     core = word.strip("“”„«»‘’'\"‑–—\u00a0\u2009¿¡")
-    if letters and any(not c.isalnum() and not "\u0300" <= c <= "\u036f" and c not in "-‑–'’.%&_（）·、\u00ad" for c in core):
+    if letters and any(not (c.isalpha() and c not in SIGNS or c.isdecimal()) and not "\u0300" <= c <= "\u036f" and c not in "-‑–'’.%&_（）·、\u00ad" for c in core):
         return None
     plain = any(c.isalpha() and c.isascii() for c in word)
     if not letters:
-        return "signs"
+        return None if _MISPLACED.search(word) else "signs"
     if re.search(r"[^\W\d_]", word) and any(a.islower() and b.isupper() for a, b in zip(word, word[1:], strict=False)):
         return None
     low = {c.lower()[0] for c in letters}
@@ -115,6 +120,8 @@ class Lengths:
         self.total, self.count = sum(sum(w.values()) for w in words.values()), Counter()
         for w in words.values():
             self.count.update(w)
+        least = max(2, KNOWN_SHARE * self.total)
+        self.count = {w: n for w, n in self.count.items() if n >= least}
         self.zstd, self.empty, self.pairs, self.known = {}, {}, {}, {}
         self.alphabet = set(SIGNS) | {chr(i) for i in range(128)}
         for lang, counts in words.items():
@@ -149,7 +156,7 @@ class Lengths:
             return LONE_LOST_BITS
         if len(pieces := [x for x in re.split("[\u00a0\u2009\u202f]", word) if x]) > 1 or (pieces and pieces[0] != word):
             return sum(map(self.word, pieces)) + SPACE_BITS * (len(word) - sum(map(len, pieces)))
-        best = 3.0 + math.log2(self.total / n) if (n := self.count.get(word, 0)) > 1 else math.inf
+        best = 3.0 + math.log2(self.total / n) if (n := self.count.get(word)) else math.inf
         lost = word.count("�")
         word = word.replace("�", "")
         alone = LONE_BITS if len(word) == 1 and word not in SIGNS and best == math.inf else 0.0
@@ -192,17 +199,21 @@ def undo(word: str, read_as: str, written_in: str) -> str | None:
 def _lossy(raw: bytes, read_as: str) -> bool:
     """Could these bytes be UTF-8 of which some were lost? A lone first byte of a dash or quotation mark; or sequences enough
     beside stray bytes, which should be first bytes that lost what follows."""
+    if raw == b"\xe2":
+        return read_as in LOSSY
     sequences, strays = len(_SEQUENCE.findall(raw)), _STRAY.findall(_SEQUENCE.sub(b"", raw))
     if read_as not in LOSSY:
         return sequences >= max(4, 3 * len(strays))
-    return raw == b"\xe2" or sequences >= len(strays) or sequences >= 1 and all(0xC2 <= x[0] <= 0xF4 for x in strays)
+    if sequences < 2 and not _COMPLETE.search(raw):
+        return False
+    return sequences >= len(strays) or sequences >= 1 and all(0xC2 <= x[0] <= 0xF4 for x in strays)
 
 
 def steps(word: str, alphabet: set[str]) -> dict[tuple[str, str], str]:
     """All single steps that give something made of known letters."""
     out, lossy = {}, {}
     seen_raw = {}
-    only_signs = all(c.isascii() or c in SIGNS for c in word)
+    only_signs = all(c.isascii() or c in SIGNS for c in word) and not _MISPLACED.search(word)
     for a in READ_AS:
         try:
             raw = word.encode(a) if a in MULTIBYTE else b"".join(map(_bytes_of(a).__getitem__, word))
@@ -234,6 +245,8 @@ def restore(value: str, lengths: Lengths) -> tuple[str, list[str], float]:
     """The value with the shortest description, the chain that leads to it (empty: left unchanged), and the bits saved."""
     parts = [p for w in _SPLIT.split(value) for p in ([w] if len(w) <= LONG_WORD else [w[i : i + LONG_WORD] for i in range(0, len(w), LONG_WORD)])]
     chain, saved = [], 0.0
+    if all(w.isascii() or w in lengths.count for w in parts):
+        return value, chain, saved  # words that were counted often, and are no garble of more frequent ones
     for _ in range(STEPS):
         gains: dict[tuple[str, str], float] = defaultdict(float)
         made: dict[tuple[str, str], dict[int, str]] = defaultdict(dict)
@@ -269,7 +282,13 @@ def without_garbled(words: dict[str, dict[str, int]], times: int = GARBLED_TIMES
     for w in words.values():
         count.update(w)
     alphabet = set(SIGNS) | {c for w in count for c in w + w.lower() + w.upper()} | {chr(i) for i in range(128)}
-    return {lang: {w: n for w, n in ws.items() if w.lower() in ONE_LETTER or max((count.get(new, 0) for new in steps(w, alphabet).values()), default=0) < (times if len(w) > 1 else LONE_TIMES) * n} for lang, ws in words.items()}
+
+    def stays(w: str, n: int) -> bool:
+        new = steps(w, alphabet).values()
+        times_ = times if len(w) > 1 else LONE_TIMES
+        return w.lower() in ONE_LETTER or "�" not in new and max((count.get(x, 0) for x in new), default=0) < times_ * n
+
+    return {lang: {w: n for w, n in ws.items() if stays(w, n)} for lang, ws in words.items()}
 
 
 def train(words: dict[str, dict[str, int]]) -> Lengths:
