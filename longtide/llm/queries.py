@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from .leaks import leaked
+from .leaks import leaked, without_leaks
 from .mojibake import garbled
 from .packing import pack, waste
 from .truncation import cut_rates, truncated
@@ -41,6 +41,12 @@ def p7_matches(spark: SparkSession, d: str) -> DataFrame:
     return leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
+def p7_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The documents that hold no passage of a test item."""
+    docs = table(spark, d, "documents")
+    return without_leaks(docs, leaked(docs, table(spark, d, "eval_items"))).select("doc_id")
+
+
 def p7_items(spark: SparkSession, d: str) -> DataFrame:
     """In how many documents each test item leaked."""
     return p7_found(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_documents"))
@@ -56,7 +62,7 @@ def p8_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p2_found": p2_found, "p2_restored": p2_restored, "p6_containers": p6_containers, "p6_waste": p6_waste, "p7_found": p7_found, "p7_matches": p7_matches, "p7_items": p7_items,
+    "p2_found": p2_found, "p2_restored": p2_restored, "p6_containers": p6_containers, "p6_waste": p6_waste, "p7_found": p7_found, "p7_matches": p7_matches, "p7_items": p7_items, "p7_clean": p7_clean,
     "p8_found": p8_found, "p8_rates": p8_rates,
 }
 ORACLE: dict[str, str] = {}
