@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -149,31 +150,39 @@ def _examples(text: str, seed: int) -> list[tuple[str, int, float]]:
 def fit_endings(documents: DataFrame, key: str, text: str, sample: int = SAMPLE_DOCS) -> Endings:
     """The classifier, learnt from at most about ``sample`` texts (chosen by a hash of their key) and at most some twenty
     endings of ``TAIL`` characters of each."""
+    ship(documents.sparkSession)
     n = documents.count()
     share = 1 << 20
     chosen = documents.filter(F.col(text).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(share)) < int(share * min(1.0, sample / max(n, 1))))).select(F.xxhash64(key).alias("seed"), F.col(text).alias("text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def offer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             got = [e for t, s in zip(b["text"], b["seed"], strict=True) for e in _examples(t, int(s) & 0xFFFFFFFF)]
             yield pd.DataFrame(got, columns=["tail", "cut", "weight"])
 
-    rows = sorted((r[0], r[1], r[2]) for r in chosen.mapInPandas(run, "tail string, cut int, weight double").collect())
-    seen: dict[str, int] = {}
-    for t, y, _ in rows:
-        if y != 1:
-            for w in {x.lower() for x in _TOKEN.findall(t)[:-1] if x[0].isalpha()}:
-                seen[w] = seen.get(w, 0) + 1
-    known = {w for w, c in seen.items() if c >= max(4, len(rows) // 8000)}
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            seen: Counter = Counter()
+            for t in b["tail"]:
+                seen.update({x.lower() for x in _TOKEN.findall(t)[:-1] if x[0].isalpha()})
+            yield pd.DataFrame(list(seen.items()), columns=["word", "c"])
+
+    examples = staged(chosen.mapInPandas(offer, "tail string, cut int, weight double"), "endings-learnt")
+    counted = examples.filter("cut <> 1").mapInPandas(words, "word string, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+    known = {r[0] for r in counted.filter(F.col("c") >= max(4, examples.count() // 8000)).collect()}  # words of a bounded sample
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = [(features(t, known), y, w, crc32(t[-60:].encode()) % 2, final_stop(t)) for t, y, w in zip(b["tail"], b["cut"], b["weight"], strict=True)]
+            yield pd.DataFrame(out, columns=["f", "y", "w", "half", "stop"])
+
+    rows = sorted(map(tuple, examples.mapInPandas(look, "f array<int>, y int, w double, half int, stop boolean").collect()))
     if not rows:
         return Endings(set(), np.zeros(BUCKETS, dtype=np.float32))
     x = np.full((len(rows), 32), BUCKETS, dtype=np.int32)
-    for n, (t, _, _) in enumerate(rows):
-        f = features(t, known)
-        x[n, : len(f)] = f
-    half = np.array([crc32(t[-60:].encode()) % 2 for t, _, _ in rows])
-    stop = np.array([final_stop(t) for t, _, _ in rows])
-    return _fit_cleaned(x, np.array([y for _, y, _ in rows]), np.array([w for _, _, w in rows]), half, stop, known)
+    for n, r in enumerate(rows):
+        x[n, : len(r[0])] = r[0]
+    return _fit_cleaned(x, *(np.array([r[k] for r in rows]) for k in (1, 2, 3, 4)), known)
 
 
 def _fit_cleaned(x: np.ndarray, y: np.ndarray, wt: np.ndarray, half: np.ndarray, stop: np.ndarray, known: set[str]) -> Endings:
