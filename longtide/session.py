@@ -84,3 +84,10 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def widened(df: DataFrame) -> DataFrame:
+    """A table of fewer partitions than the cluster has cores, spread over as many; any other as it is, unshuffled. For inputs of a
+    few files whose rows are costly to work on."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
