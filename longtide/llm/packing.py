@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship, staged
+from ..session import ship, staged, widened
 from .tokens import TOKENIZER, counter
 
 CAPACITY = 2_048
@@ -118,7 +118,7 @@ def pack(documents: DataFrame, *, key: str = "doc_id", text: str = "text", capac
     ship(documents.sparkSession)
     kind = documents.schema[key].dataType
     schema = T.StructType([T.StructField("k", kind), *T.StructType.fromDDL("piece int, n_tokens bigint, lump string, offset bigint, load bigint, full boolean").fields])
-    source = documents.select(F.col(key).alias("k"), F.col(text).alias("text"), F.spark_partition_id().alias("part"))
+    source = widened(documents.select(F.col(key).alias("k"), F.col(text).alias("text"))).withColumn("part", F.spark_partition_id())
     items = staged(source.mapInPandas(_local(capacity, tokenizer, chunk, nearly), schema), "packed")
     open_ = items.filter(~F.col("full")).groupBy("lump").agg(F.max("load").alias("load"))
     moves = None

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.skew import fits_broadcast, spread
-from ..session import ship, staged
+from ..session import ship, staged, widened
 
 #: Texts from which the classifier of endings learns, at most.
 SAMPLE_DOCS = 6_000
@@ -167,7 +167,7 @@ def fit_endings(documents: DataFrame, key: str, text: str, sample: int = SAMPLE_
                 seen.update({x.lower() for x in _TOKEN.findall(t)[:-1] if x[0].isalpha()})
             yield pd.DataFrame(list(seen.items()), columns=["word", "c"])
 
-    examples = staged(chosen.mapInPandas(offer, "tail string, cut int, weight double"), "endings-learnt")
+    examples = staged(widened(chosen.mapInPandas(offer, "tail string, cut int, weight double")), "endings-learnt")
     counted = examples.filter("cut <> 1").mapInPandas(words, "word string, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
     known = {r[0] for r in counted.filter(F.col("c") >= max(4, examples.count() // 8000)).collect()}  # words of a bounded sample
 
