@@ -114,7 +114,7 @@ def pack(documents: DataFrame, *, key: str = "doc_id", text: str = "text", capac
 
     One row per row of ``documents`` and piece; repeated keys are items of their own. Null and empty texts have no tokens
     and stand at place 0 of some container. Other columns are ignored; an empty table gives no rows. Each round of the tree
-    moves only the lumps of containers that are not nearly full, a few per task; texts are never shuffled."""
+    moves only the lumps of containers that are not nearly full, a few per task; texts are shuffled only where they come in fewer partitions than there are cores."""
     ship(documents.sparkSession)
     kind = documents.schema[key].dataType
     schema = T.StructType([T.StructField("k", kind), *T.StructType.fromDDL("piece int, n_tokens bigint, lump string, offset bigint, load bigint, full boolean").fields])
