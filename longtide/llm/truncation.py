@@ -37,6 +37,7 @@ _MARK = re.compile(r"(?:…|\.\.\.+|\[\s*(?:…|\.\.\.)\s*\])$")
 _CLOSERS = re.compile(r"(?:\s+|</\w+\s*>|<br\s*/?>|\*\*|__|```|&nbsp;)$")
 _TOKEN = re.compile(r"\d+|[^\W\d_]+|[^\w\s]|_")
 _OPEN_NUMBER = re.compile(r"[,;|\t]-?\d+\.$")
+_BLANK, _FIELD, _WORD = re.compile(r"[^\S\t]"), re.compile(r"[,;|\t]"), re.compile(r"[^\W_]+")
 _FINAL = re.compile(r"[.!?。！？؟][\"'”’»)\]]*$")
 
 
@@ -53,11 +54,21 @@ def bare_ending(text: str) -> tuple[str, bool]:
 
 
 def final_stop(text: str) -> bool:
-    """True if the text ends with the stop of a sentence; the point of a number at the end of a data line is none."""
+    """True if the text ends with the stop of a sentence; a point at the end of a data line is none, be it that of a number
+    or that of a key of which the lines before have more."""
     if not _FINAL.search(text):
         return False
     line = text.rsplit("\n", 1)[-1]
-    return not _OPEN_NUMBER.search(line)
+    return not _OPEN_NUMBER.search(line) and not _open_line(text)
+
+
+def _open_line(text: str) -> bool:
+    """True if the last line has no blank, ends with a point, and a data line before it begins in the same shape and goes on."""
+    *before, line = text[-TAIL:].rstrip().split("\n")
+    if not line.endswith(".") or _BLANK.search(line):
+        return False
+    shape = _WORD.sub("a", line)
+    return any(_FIELD.search(x) and not _BLANK.search(x) and len(y := _WORD.sub("a", x)) > len(shape) and y.startswith(shape) and not _FINAL.search(x) for x in before)
 
 
 def _norm(token: str, known: set[str]) -> str:
@@ -141,7 +152,9 @@ def _examples(text: str, seed: int) -> list[tuple[str, int, float]]:
     if n > 40:
         for p in rng.integers(20, n, 9):
             cut = text[max(0, p - TAIL) : p]
-            if cut.endswith("\n") or text[p] == "\n" or re.match(r"[.!?](?:\s|$)", text[p:]) or re.search(r"[.!?]\s*$", cut):
+            if cut.endswith("\n") or text[p] == "\n" or re.match(r"[.!?](?:\s|$)", text[p:]) or re.search(r"[.!?]\s+$", cut):
+                continue
+            if cut[-1] in ".!?" and not text[p].isalnum():  # else a point that more follows at once ends nothing
                 continue
             out.append((bare_ending(cut)[0], 1, 1.0))
     return [(t, y, w) for t, y, w in out if t]
@@ -253,8 +266,8 @@ def truncated(documents: DataFrame, *, key: str = "doc_id", text: str = "text",
     """Every text with the odds that it was cut: ``key``, ``source``, ``length``, ``limit_posterior`` (0 away from any
     candidate limit), ``ending_odds``, ``probability``, ``cut``.
 
-    A text that ends with the stop of its sentence and bears no mark of omission ends where it should. ``declared`` (may be
-    None): a column with the length that the sender gave; one well above the text's own speaks for a cut. Null and empty
+    A stop at the end is evidence like any other ending: the classifier has learnt stops of sentences as whole and points within
+    keys and numbers as cuts, and the posterior of the limit is added. ``declared`` (may be None): a column with the length that the sender gave; one well above the text's own speaks for a cut. Null and empty
     texts are never cut. Rows keep their multiplicity; other columns are ignored; an empty table gives no rows."""
     spark = documents.sparkSession
     ship(spark)
@@ -281,12 +294,13 @@ def truncated(documents: DataFrame, *, key: str = "doc_id", text: str = "text",
                 if not bare:
                     odds.append(-20.0)
                     continue
-                if final_stop(bare):
-                    odds.append(4.0 if marked else -20.0)
+                stop = final_stop(bare)
+                if stop and marked:
+                    odds.append(4.0)
                     continue
-                x = min(max(m.log_odds(bare), -8.0), 8.0) + (8.0 if marked else CLOSED_ODDS if len(bare) < len(tail) else 0.0)
-                if _OPEN_NUMBER.search(bare[-40:].rsplit("\n", 1)[-1]):
-                    x += CLOSED_ODDS  # a number that stops at its point
+                x = min(max(m.log_odds(bare), -8.0), 8.0) + (8.0 if marked else CLOSED_ODDS if len(bare) < len(tail) and not stop else 0.0)
+                if _OPEN_NUMBER.search(bare[-40:].rsplit("\n", 1)[-1]) or _open_line(bare):
+                    x += CLOSED_ODDS  # a number, or a key, that stops at its point
                 if told_n is not None and told_n == told_n and told_n > chars + 30 and told_n > 1.03 * chars:
                     x += 3.0
                 odds.append(x)

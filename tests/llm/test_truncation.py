@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -36,6 +37,12 @@ def test_final_stop():
     assert C.final_stop("Done.") and C.final_stop('He said "no."') and not C.final_stop("and the") and not C.final_stop("k,2017-03-06,756.") and C.final_stop("rose by 4.1 percent, of 756.")
 
 
+def test_stop_of_a_data_line():
+    lines = "k_cb:M.OMB.BF.01Y6,2013-01-01,484.60\nk_cb:M.OMB.BF.01Y6,2013-02-01,172.45\n"
+    assert not any(C.final_stop(lines + x) for x in ("k_cb:M.OMB.", "k_cb:M.", "k_cb:M.OMB.BF.01Y6,2013-03-01,1."))
+    assert all(C.final_stop(x) for x in (lines + "All in euros.", lines + "Done.", "a,b.\na,b.", "www.example.org\nDone."))
+
+
 def test_broken_rate():
     assert abs(C.broken_rate([(-8.0, 950), (9.0, 50)]) - 0.05) < 0.01 and C.broken_rate([]) == 0.03
 
@@ -59,6 +66,25 @@ def test_held_out_cuts(spark, sf):
     assert len(cut) > 30 and len(found & cut) / len(cut) > 0.85 and len(found - cut) <= 0.1 * len(found)
 
 
+def test_held_out_cuts_after_a_dot(spark, sf):
+    """Data lines cut right after a dot, within a key or a number, half of them at a field limit; whole texts stay whole."""
+    docs = [(r.doc_id, r.text, r.source) for r in table(spark, sf.replace("sf0.001", "sf0.01"), "documents").collect()]
+    rng = random.Random(7)
+    data, cut, whole = [], set(), set()
+    for i, (_, t, s) in enumerate(docs):
+        dots = [m.end() for m in re.finditer(r"(?<=\w)\.(?=\w)", t or "") if m.end() > 100 and re.search(r"\n[^\s,]*[:.,][^\s]*$", t[: m.end()])]
+        if t and dots and rng.random() < 0.4:
+            p = rng.choice(dots)
+            t = t[max(0, p - 300) : p] if rng.random() < 0.5 else t[:p]
+            cut.add(i)
+        elif t and C.final_stop(t) and " " in t.rsplit("\n", 1)[-1]:
+            whole.add(i)
+        data.append((i, t, s))
+    df = spark.createDataFrame(data, "doc_id int, text string, source string")
+    found = {r[0] for r in C.truncated(df, declared=None).filter("cut").select("doc_id").collect()}
+    assert len(cut) > 20 and len(found & cut) / len(cut) > 0.85 and len(found & whole) <= 0.01 * len(whole)
+
+
 def test_edges(spark):
     long = "All is well here. " * 3000
     data = [(1, None, "s", 5), (2, "", "s", None), (3, "…", None, 1), (4, long, "s", len(long)), (5, long + "and the", None, 3), (5, long + "and the", None, 3)]
