@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..errors import SchemaRefusal
 from ..functions.hashing import content_fingerprint
 from ..functions.periods import frequency_of_gap
+from ..session import staged
 
 
 def bilateral_totals(flows: DataFrame, a: str, b: str, year: str, measures: dict[str, str], codes: DataFrame | None = None) -> DataFrame:
@@ -99,17 +100,41 @@ def crosswalk(left: DataFrame, right: DataFrame, key: str = "series_key", date:
     """Which series of one store is which of another, by the values that they share per date: per left series ``match`` (null
     unless MATCHED), ``n_agree``, ``verdict`` (MATCHED, AMBIGUOUS, UNMATCHED, NO-OVERLAP, TOO-SHORT).
 
-    Values that more than ``fanout`` right series share on a date tell nothing and are passed over, so no bucket is
-    joined in full; what remains is summed per pair before pairs are ranked."""
+    A value that more than ``fanout`` series of a side share on a date is common. Rare values propose pairs, and so do the
+    first and last series of a common value; what a pair agrees on is then counted over all values. A pair that agrees on
+    common values alone has at most as many of them as its left series holds; where so many could decide a verdict, the
+    series is also looked up by as many of its least common ones as such a pair cannot miss. Verdict and match are thus exact;
+    ``n_agree`` of a series that is neither MATCHED nor AMBIGUOUS may leave out pairs that share common values only."""
     norm = lambda d: d.filter(F.col(key).isNotNull() & F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(F.col(key).alias("k"), F.col(date).alias("d"), F.round(value, digits).alias("v")).distinct()
     l, r = norm(left), norm(right)
-    thin = lambda d: d.join(d.groupBy("d", "v").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") <= fanout), ["d", "v"], "left_semi")
-    l2, r2 = thin(l), thin(r).withColumnRenamed("k", "k2")
-    pairs = l2.join(r2, ["d", "v"]).groupBy("k", "k2").agg(F.count(F.lit(1)).alias("n_agree"))
-    w = Window.partitionBy("k").orderBy(F.col("n_agree").desc(), "k2")
-    best = pairs.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= top)
-    best = best.groupBy("k").agg(F.max_by("k2", -F.col("rn")).alias("m"), F.max("n_agree").alias("n_agree"), F.max(F.when(F.col("rn") == 2, F.col("n_agree"))).alias("second"))
+    held = l.groupBy("d", "v").agg(F.count(F.lit(1)).alias("cl")).join(r.groupBy("d", "v").agg(F.count(F.lit(1)).alias("c"), F.min("k").alias("first"), F.max("k").alias("last")), ["d", "v"])
+    held = held.withColumn("common", F.greatest("cl", "c") > fanout)
+    rare, common = (held.filter(F.col("common") == x).drop("cl", "common") for x in (False, True))
+    common = staged(common, "common-values")
+    thin = l.join(rare.select("d", "v"), ["d", "v"]).join(r.withColumnRenamed("k", "k2"), ["d", "v"]).groupBy("k", "k2").agg(F.count(F.lit(1)).alias("n_rare"))
+    lc, rc = l.join(common, ["d", "v"]), r.join(common.select("d", "v"), ["d", "v"], "left_semi").withColumnRenamed("k", "k2")
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        more = pairs.join(lc.select("k", "d", "v"), "k").join(rc, ["k2", "d", "v"]).groupBy("k", "k2").agg(F.count(F.lit(1)).alias("n_common"))
+        return pairs.join(more, ["k", "k2"], "left").select("k", "k2", (F.col("n_rare") + F.coalesce("n_common", F.lit(0))).alias("n_agree"))
+
+    ends = lc.select("k", F.explode(F.array("first", "last")).alias("k2"), F.lit(0).cast("bigint").alias("n_rare"))
+    pairs = staged(scored(thin.union(ends).groupBy("k", "k2").agg(F.max("n_rare").alias("n_rare"))), "pairs")
     sizes = l.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+
+    def ranked(pairs: DataFrame) -> DataFrame:
+        w = Window.partitionBy("k").orderBy(F.col("n_agree").desc(), "k2")
+        best = pairs.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= top)
+        return best.groupBy("k").agg(F.max_by("k2", -F.col("rn")).alias("m"), F.max("n_agree").alias("n_agree"), F.max(F.when(F.col("rn") == 2, F.col("n_agree"))).alias("second"))
+
+    # what a pair must agree on to be the best one or its rival: 0.95 of the best so far, and 0.95 of 0.8 of all
+    least_agree = F.ceil(F.greatest(0.95 * F.col("n_agree"), 0.76 * F.col("n")) - 1e-6)
+    settled = (F.col("n_agree") == F.col("n")) & (F.coalesce("second", F.lit(0)) >= 0.95 * F.col("n"))
+    open_ = lc.groupBy("k").agg(F.count(F.lit(1)).alias("n_common")).join(sizes, "k").join(ranked(pairs), "k").withColumn("probes", F.col("n_common") - least_agree + 1).filter((F.col("probes") > 0) & ~settled)
+    at = F.row_number().over(Window.partitionBy("k").orderBy("c", "d", "v"))
+    probes = lc.join(open_.select("k", "probes"), "k").withColumn("at", at).filter(F.col("at") <= F.col("probes")).select("k", "d", "v")
+    missed = probes.join(rc, ["d", "v"]).select("k", "k2").distinct().join(pairs, ["k", "k2"], "left_anti").withColumn("n_rare", F.lit(0).cast("bigint"))
+    best = ranked(pairs.union(scored(missed)))
     j = sizes.join(best, "k", "left")
     share = F.col("n_agree") / F.col("n")
     verdict = F.when(F.col("n") < least, "TOO-SHORT").when(F.col("n_agree").isNull(), "NO-OVERLAP").when(share < 0.8, "UNMATCHED").when(F.col("second") >= 0.95 * F.col("n_agree"), "AMBIGUOUS").otherwise("MATCHED")
