@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from longtide.llm import leaks as K
-from longtide.llm.words import words_of
+from longtide.llm.words import WordIds, bitmap, word_id, words_of
 
 from ..conftest import rows
 
@@ -21,9 +21,8 @@ def test_words():
 def test_lookups_are_brute_force(seed):
     rng = np.random.default_rng(seed)
     v = int(rng.integers(2, 6))
-    items = K.Items.build([(i, " ".join(f"w{int(x)}" for x in rng.integers(0, v, rng.integers(1, 14)))) for i in range(3)], set())
-    items.telling = np.array([len(g := items.ids[i : i + K.SEED]) == K.SEED and bool((g > 0).all()) for i in range(len(items.ids))])
-    text = np.r_[rng.integers(0, len(items.vocab) + 1, rng.integers(1, 50)), 0]
+    ids = np.concatenate([np.r_[rng.integers(0 if seed % 3 == 0 else 1, v, rng.integers(1, 14)), 0] for _ in range(3)])
+    text = np.r_[rng.integers(0, v + 1, rng.integers(1, 50)), 0]
 
     def suffix(p):
         out = []
@@ -35,21 +34,37 @@ def test_lookups_are_brute_force(seed):
     sa = K.suffix_array(text[:-1])
     assert [suffix(p) for p in sa] == sorted(s for p in range(len(text) - 1) if len(s := suffix(p)) >= K.SEED)
     want = []
-    for q in np.flatnonzero(items.telling):
+    for q in np.flatnonzero(ids):
         for p in range(len(text) - 1):
             n = 0
-            while text[p + n] and items.ids[q + n] == text[p + n]:
+            while text[p + n] and ids[q + n] == text[p + n]:
                 n += 1
-            if n >= K.SEED and not (q > 0 and p > 0 and items.telling[q - 1] and text[p - 1] == items.ids[q - 1]):
+            if n >= K.SEED and not (q > 0 and p > 0 and ids[q - 1] and text[p - 1] == ids[q - 1]):
                 want.append((int(q), p, n))
-    got = K.verbatim_matches(text, sa, items)
+    got = K.verbatim_matches(text, sa, ids)
     assert sorted(zip(*(x.tolist() for x in got), strict=True)) == sorted(want)
 
 
 def test_align():
     item, text = np.arange(1, 11), np.array([0, 1, 2, 3, 99, 5, 6, 7, 8, 0, 9, 10])
-    assert K.align(item, text).tolist() == [0, 1, 2, 4, 5, 6, 7, 8, 9]
-    assert K.align(item, np.zeros(4, dtype=int)).tolist() == [] and K.align(np.zeros(3, dtype=int), item).tolist() == []
+    assert [x.tolist() for x in K.align(item, text)] == [[0, 1, 2, 4, 5, 6, 7, 8, 9], [1, 2, 3, 5, 6, 7, 8, 10, 11]]
+    assert not len(K.align(item, np.zeros(4, dtype=int))[0]) and not len(K.align(np.zeros(3, dtype=int), item)[0])
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_the_bound_never_rules_out_a_passage(seed):
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(18, 60))
+    weight, there = rng.random(n) * 3 + 0.05, rng.random(n) < 0.65
+    best = max(weight[a:b][there[a:b]].sum() / weight[a:b].sum() for a in range(n) for b in range(a + 18, n + 1))
+    assert K.may_hold(there[None], weight[None], 18)[0] == (best >= K.MIN_SHARE)
+
+
+def test_word_ids_survive_a_small_bitmap():
+    words = [f"w{i}" for i in range(500)]
+    ids = WordIds(bitmap(np.array([word_id(w) for w in words[:50]]), 1 << 16))
+    got = ids.of(words)
+    assert (got[:50] == [word_id(w) for w in words[:50]]).all() and (got[50:] == 0).mean() > 0.95
 
 
 def sentence(rng, n):
@@ -103,10 +118,50 @@ def test_long_items_go_in_segments(spark):
     assert all(r["item_word"] == 47 * r["doc_id"] for r in got if r["doc_id"] < 900)
 
 
-def test_blocks_of_items_give_the_same(spark, sf, monkeypatch):
+def test_blocks_of_items_give_the_same(spark, sf):
     from longtide.session import table
 
     d, t = table(spark, sf, "documents"), table(spark, sf, "eval_items")
-    whole = rows(K.leaked(d, t).select("doc_id", "item_id"))
-    monkeypatch.setattr(K, "ITEM_BLOCK", 150)
-    assert set(rows(K.leaked(d, t).select("doc_id", "item_id"))) >= set(whole)
+    whole = rows(K.leaked(d, t))
+    assert whole and rows(K.leaked(d, t, block_words=5_000)) == whole
+
+
+def test_near_equal_items(spark):
+    """Families of four items that differ in one word per sentence, planted with those words altered or as they are."""
+    rng = random.Random(4)
+    items, docs = [], []
+    for family in range(50):
+        base = [sentence(rng, 12).split() for _ in range(4)]
+        for k in range(4):
+            own = [ws[:5] + [f"own{family}x{k}x{n}"] + ws[6:] for n, ws in enumerate(base)]
+            i = family * 4 + k
+            items.append((i, " ".join(" ".join(ws) + "." for ws in own)))
+            kept = own if i % 2 else [ws[:5] + [f"altered{i}x{n}"] + ws[6:] for n, ws in enumerate(own)]
+            docs.append((i, sentence(rng, 40) + ". " + " ".join(" ".join(ws) + "." for ws in kept) + " " + sentence(rng, 40)))
+    got = K.leaked(spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")).collect()
+    pairs = {(r["doc_id"], r["item_id"]) for r in got}
+    assert sum((i, i) in pairs for i, _ in items) >= 0.9 * len(items)
+    assert all(d // 4 == i // 4 for d, i in pairs)
+
+
+def test_every_passage_of_a_pair_comes_out(spark):
+    rng = random.Random(6)
+    ws = sentence(rng, 120).split()
+    gap = sentence(rng, 70)
+    doc = " ".join([*ws[:30], gap, *ws[60:100], gap, *ws[:30], gap, *ws[:30]])
+    items = [(1, " ".join(ws))] + [(n, sentence(rng, 60)) for n in range(2, 9)]
+    got = sorted((r["doc_word"], r["item_word"], r["n_words"]) for r in K.leaked(spark.createDataFrame([(7, doc)], "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")).collect())
+    assert got == [(0, 0, 30), (100, 60, 40), (210, 0, 30), (310, 0, 30)]
+
+
+def test_same_pattern_with_other_names_is_no_passage(spark):
+    rng = random.Random(9)
+
+    def item():
+        a, b, c = (sentence(rng, 2) for _ in range(3))
+        return f"the joint series on {a} was restated back to 19{rng.randrange(90) + 10} which of the two areas had more {b} in 20{rng.randrange(90) + 10} and by how much did {c} fall"
+
+    items = [(i, item() + f" question {i}.") for i in range(60)]
+    docs = [(i, "Some say " + item() + " and no more.") for i in range(60)] + [(100 + i, "Some say " + t) for i, t in items]
+    got = K.leaked(spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(100 + i, i) for i, _ in items}
