@@ -14,12 +14,12 @@ from .truncation import cut_rates, truncated
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return garbled(table(spark, d, "series"), "series_id", ["title", "geography"]).select("series_id", "field").distinct()
+    return garbled(table(spark, d, "series"), "series_id", ["title", "geography"], by="source_id").select("series_id", "field").distinct()
 
 
 def p2_restored(spark: SparkSession, d: str) -> DataFrame:
     """What was garbled, and the text that the publisher wrote where it can be brought back."""
-    return garbled(table(spark, d, "series"), "series_id", ["title", "geography"]).withColumn("chain", F.concat_ws(" ", "chain"))
+    return garbled(table(spark, d, "series"), "series_id", ["title", "geography"], by="source_id").withColumn("chain", F.concat_ws(" ", "chain"))
 
 
 def p6_containers(spark: SparkSession, d: str) -> DataFrame:
