@@ -253,6 +253,18 @@ def may_hold(there: np.ndarray, weight: np.ndarray, span: int) -> np.ndarray:
     return (gain[:, span:] - low[:, : gain.shape[1] - span] > -1e-6).any(axis=1)
 
 
+def reach(there: np.ndarray, weight: np.ndarray, span: int) -> tuple[int, int] | None:
+    """The stretch of one row of item words that such passages could cover (first word, behind the last); None if there can be none."""
+    if len(weight) < span:
+        return None
+    gain = np.r_[0.0, np.cumsum(weight * (there - MIN_SHARE))]
+    ends = np.flatnonzero(gain[span:] - np.minimum.accumulate(gain)[:-span] > -1e-6)
+    if not len(ends):
+        return None
+    starts = np.flatnonzero(np.maximum.accumulate(gain[::-1])[::-1][span:] - gain[:-span] > -1e-6)
+    return int(starts[0]), int(ends[-1]) + span
+
+
 class Shard:
     """Whole documents and the suffix array over their words, made once for all blocks of items."""
 
@@ -309,20 +321,23 @@ def _passages(item: np.ndarray, weight: np.ndarray, rare: float, words: np.ndarr
     """The passages of one item in one document, around its verbatim matches (longest first): places of the words that match, in
     the item and in the document, their weight and that of the item words spanned, and the longest match. A span may fall short of
     ``min_words`` by what may have been changed at its two ends. What one passage takes up is not looked at again."""
-    n, m = len(item), len(words)
-    slack, words, out, done = n // 4 + 8, words.copy(), [], np.zeros(len(at), dtype=bool)
-    solid = np.flatnonzero(weight > 0)
+    n, m, span_ = len(item), len(words), min_words - EDGE
+    words, out, done, solid = words.copy(), [], np.zeros(len(at), dtype=bool), np.flatnonzero(weight > 0)
     for s in range(len(at)):
         while not done[s]:
-            lo, hi = max(0, int(pos[s] - at[s]) - slack), min(m, int(pos[s] - at[s]) + n + slack)
-            near = words[lo:hi]
-            done[s] = not may_hold(np.isin(item[solid], near[near > 0])[None], weight[solid][None], min_words - EDGE)[0]
+            near = words[max(0, int(pos[s] - at[s]) - n // 4 - 8) : int(pos[s] - at[s]) + n + n // 4 + 8]
+            may = reach(np.isin(item[solid], near[near > 0]), weight[solid], span_)
+            from_, to = (int(solid[may[0]]), int(solid[may[1] - 1]) + 1) if may else (0, 0)
+            done[s] = at[s] >= to or at[s] + length[s] <= from_
             if done[s]:
                 break
-            a, b = align(item, near)
+            slack = (to - from_) // 4 + 8
+            lo, hi = max(0, int(pos[s] - at[s]) + from_ - slack), min(m, int(pos[s] - at[s]) + to + slack)
+            a, b = align(item[from_:to], words[lo:hi])
+            a = a + from_
             span = slice(int(a[0]), int(a[-1]) + 1) if len(a) else slice(0, 0)
             enough = MIN_SHARE if (weight[a] >= rare).any() else COMMON_SHARE
-            if (weight[span] > 0).sum() < min_words - EDGE or weight[a].sum() < enough * weight[span].sum():
+            if (weight[span] > 0).sum() < span_ or weight[a].sum() < enough * weight[span].sum():
                 done[s] = True
                 break
             first, last = lo + int(b[0]), lo + int(b[-1]) + 1

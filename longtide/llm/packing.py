@@ -1,8 +1,8 @@
 """Filling fixed-capacity containers with items (problem 6).
 
 Hierarchical residual packing: every partition of the corpus packs its own items best-fit, largest first, and is done with
-the containers that are nearly full, or that nothing is left to fill with. The items of the others stay together as one lump each; lumps of several partitions
-are packed best-fit again, and so on up a tree, until one task holds the few that are left."""
+the containers that are nearly full. The items of all others (their sizes, not their texts) are mixed over tasks and packed best-fit
+again; what is still not nearly full goes up a tree as items, until one task holds the few that are left."""
 
 from __future__ import annotations
 
@@ -21,10 +21,10 @@ from .tokens import TOKENIZER, counter
 CAPACITY = 2_048
 #: A container that is filled to this share goes out.
 NEARLY_FULL = 0.995
-#: Containers more than half full that a task passes up, the emptiest ones; with the at most one that is emptier still, this bounds
-#: what any task of the tree holds. The others go out as they are: nothing small was left to fill them with.
-PASS_UP = 64
-#: Groups of lumps that one task takes in a round of the tree.
+#: Containers that are not nearly full which a task of the tree passes up, the emptiest ones. It bounds what a task holds and is reached
+#: only where sizes cannot be combined: each task holds a random mixture of what was left, so the others' like are there too.
+PASS_UP = 20_000
+#: Tasks whose leftovers one task takes in the next round of the tree.
 FAN_IN = 16
 #: Items that are packed at a time within a partition, which bounds a task's memory.
 CHUNK = 200_000
@@ -56,11 +56,11 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
     return bins, offsets, np.array(loads, dtype=np.int64)
 
 
-def going_out(loads: np.ndarray, capacity: int, nearly: float) -> np.ndarray:
-    """Which containers a task is done with: the nearly full ones, and those over half full beyond the ``PASS_UP`` emptiest."""
+def going_out(loads: np.ndarray, capacity: int, nearly: float, pass_up: int = PASS_UP) -> np.ndarray:
+    """Which containers a task of the tree is done with: the nearly full ones, and those beyond the ``pass_up`` emptiest."""
     out = loads >= nearly * capacity
-    half = np.flatnonzero(~out & (2 * loads > capacity))
-    out[half[np.argsort(loads[half], kind="stable")[PASS_UP:]]] = True
+    rest = np.flatnonzero(~out)
+    out[rest[np.argsort(loads[rest], kind="stable")[pass_up:]]] = True
     return out
 
 
@@ -90,20 +90,21 @@ def _local(capacity: int, tokenizer: str, chunk: int, nearly: float):
         sizes = np.array([s for c in cut for s in c], dtype=np.int64)
         piece = np.array([i for c in cut for i in range(len(c))], dtype=np.int32)
         bins, offsets, loads = best_fit(sizes, capacity)
-        name = [f"{held[0][0]}-{made}-{b}" for b in range(len(loads))]
-        return pd.DataFrame({"k": keys.to_numpy()[of], "piece": piece, "n_tokens": sizes, "lump": np.array(name, dtype=object)[bins], "offset": offsets, "load": loads[bins], "full": going_out(loads, capacity, nearly)[bins]})
+        name = np.array([f"{held[0][0]}-{made}-{b}" for b in range(len(loads))], dtype=object)
+        return pd.DataFrame({"k": keys.to_numpy()[of], "piece": piece, "n_tokens": sizes, "container": name[bins], "place": offsets, "full": (loads >= nearly * capacity)[bins]})
 
     return run
 
 
-def _merge(capacity: int, nearly: float):
-    """One task's lumps, which come from several groups, packed best-fit again."""
+def _again(capacity: int, nearly: float, round_: int, last: bool):
+    """One task's items, which come from several tasks, packed best-fit again; the last task is done with all."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["load", "lump"], ascending=[False, True], kind="stable").reset_index(drop=True)
-        bins, offsets, loads = best_fit(pdf["load"].to_numpy(), capacity)
-        first = pdf.groupby(bins)["lump"].min()  # the container bears the name of a lump in it, so names stay unique
-        return pd.DataFrame({"lump": pdf["lump"], "into": first.to_numpy()[bins], "offset": offsets, "load": loads[bins], "full": going_out(loads, capacity, nearly)[bins]})
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["n_tokens", "container", "place"], ascending=[False, True, True], kind="stable")
+        bins, offsets, loads = best_fit(pdf["n_tokens"].to_numpy(), capacity)
+        done = np.ones(len(loads), dtype=bool) if last else going_out(loads, capacity, nearly)
+        name = np.array([f"r{round_}-{key[0]}-{b}" for b in range(len(loads))], dtype=object)
+        return pdf.drop(columns="g").assign(container=name[bins], place=offsets, full=done[bins])
 
     return run
 
@@ -114,30 +115,23 @@ def pack(documents: DataFrame, *, key: str = "doc_id", text: str = "text", capac
 
     One row per row of ``documents`` and piece; repeated keys are items of their own. Null and empty texts have no tokens
     and stand at place 0 of some container. Other columns are ignored; an empty table gives no rows. Each round of the tree
-    moves only the lumps of containers that are not nearly full, a few per task; texts are shuffled only where they come in fewer partitions than there are cores."""
+    moves keys and sizes only, of items whose container is not nearly full; texts are shuffled only where they come in fewer partitions
+    than there are cores."""
     ship(documents.sparkSession)
     kind = documents.schema[key].dataType
-    schema = T.StructType([T.StructField("k", kind), *T.StructType.fromDDL("piece int, n_tokens bigint, lump string, offset bigint, load bigint, full boolean").fields])
+    schema = T.StructType([T.StructField("k", kind), *T.StructType.fromDDL("piece int, n_tokens bigint, container string, place bigint, full boolean").fields])
     source = widened(documents.select(F.col(key).alias("k"), F.col(text).alias("text"))).withColumn("part", F.spark_partition_id())
-    items = staged(source.mapInPandas(_local(capacity, tokenizer, chunk, nearly), schema), "packed")
-    open_ = items.filter(~F.col("full")).groupBy("lump").agg(F.max("load").alias("load"))
-    moves = None
-    live = open_.withColumn("origin", F.col("lump")).withColumn("shift", F.lit(0).cast("bigint"))
-    live = staged(live, "lumps")
-    n_groups = max(1, items.select(F.substring_index("lump", "-", 2).alias("g")).distinct().count())
+    placed = staged(source.mapInPandas(_local(capacity, tokenizer, chunk, nearly), schema), "packed")
+    done, left, round_ = placed.filter("full"), placed.filter(~F.col("full")), 0
+    groups = max(1, -(-left.count() // chunk))
     while True:
-        n_groups = max(1, -(-n_groups // fan_in))
-        heads = live.groupBy("lump").agg(F.max("load").alias("load"))
-        merged = heads.withColumn("g", F.pmod(F.xxhash64("lump"), F.lit(n_groups))).groupBy("g").applyInPandas(_merge(capacity, nearly), "lump string, into string, offset bigint, load bigint, full boolean")
-        now = live.drop("load").join(merged, "lump").select("origin", F.col("into").alias("lump"), (F.col("shift") + F.col("offset")).alias("shift"), "load", "full")
-        now = staged(now, "merged")
-        done = now if n_groups == 1 else now.filter("full")
-        moves = done.select("origin", "lump", "shift") if moves is None else moves.unionByName(done.select("origin", "lump", "shift"))
-        if n_groups == 1:
+        mixed = left.withColumn("g", F.pmod(F.xxhash64("container", "place", "k", "piece"), F.lit(groups)).cast("int"))
+        now = staged(mixed.groupBy("g").applyInPandas(_again(capacity, nearly, round_, groups == 1), schema), "repacked")
+        done = done.unionByName(now.filter("full"))
+        if groups == 1:
             break
-        live = now.filter(~F.col("full")).drop("full")
-    final = items.join(moves.select(F.col("origin").alias("lump"), F.col("lump").alias("into"), "shift"), "lump", "left")
-    return final.select(F.col("k").alias(key), "piece", "n_tokens", F.coalesce("into", "lump").alias("container"), (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("place"))
+        left, round_, groups = now.filter(~F.col("full")), round_ + 1, -(-groups // fan_in)
+    return done.select(F.col("k").alias(key), "piece", "n_tokens", "container", "place")
 
 
 def waste(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:

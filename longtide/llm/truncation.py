@@ -16,7 +16,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.skew import fits_broadcast, spread
@@ -26,10 +26,15 @@ from ..session import ship, staged, widened
 SAMPLE_DOCS = 6_000
 #: Characters before an ending that are looked at.
 TAIL = 400
-#: A length is a candidate limit of a source if so many and such a share of its texts have it (at most 1 / share each).
-LIMIT_ROWS, LIMIT_SHARE = 5, 0.004
+#: A length is a candidate limit of a source if so many different texts have it, and more than the lengths ``AROUND`` it let expect
+#: (three standard deviations and three texts).
+LIMIT_ROWS, AROUND = 5, 25
 #: Log-odds of blanks or closing markup after an ending without a stop; whole texts hardly ever end so.
 CLOSED_ODDS = 5.0
+#: Log-odds of a declared length well above the text's own.
+TOLD_ODDS = 3.0
+#: What ends texts without being part of them.
+BLANKS = " \t\n\r\f\u000b\u00a0\u2009\u202f\u3000"
 #: Hashed features of the classifier.
 BUCKETS = 1 << 17
 
@@ -160,13 +165,12 @@ def _examples(text: str, seed: int) -> list[tuple[str, int, float]]:
     return [(t, y, w) for t, y, w in out if t]
 
 
-def fit_endings(documents: DataFrame, key: str, text: str, sample: int = SAMPLE_DOCS) -> Endings:
-    """The classifier, learnt from at most about ``sample`` texts (chosen by a hash of their key) and at most some twenty
-    endings of ``TAIL`` characters of each."""
+def fit_endings(documents: DataFrame, key: str, text: str, total: int, sample: int = SAMPLE_DOCS) -> Endings:
+    """The classifier, learnt by one task from at most about ``sample`` of the ``total`` texts (chosen by a hash of their key) and at
+    most some twenty endings of ``TAIL`` characters of each. Only its weights come to the driver."""
     ship(documents.sparkSession)
-    n = documents.count()
     share = 1 << 20
-    chosen = documents.filter(F.col(text).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(share)) < int(share * min(1.0, sample / max(n, 1))))).select(F.xxhash64(key).alias("seed"), F.col(text).alias("text"))
+    chosen = documents.filter(F.col(text).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(share)) < int(share * min(1.0, sample / max(total, 1))))).select(F.xxhash64(key).alias("seed"), F.col(text).alias("text"))
 
     def offer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -189,13 +193,16 @@ def fit_endings(documents: DataFrame, key: str, text: str, sample: int = SAMPLE_
             out = [(features(t, known), y, w, crc32(t[-60:].encode()) % 2, final_stop(t)) for t, y, w in zip(b["tail"], b["cut"], b["weight"], strict=True)]
             yield pd.DataFrame(out, columns=["f", "y", "w", "half", "stop"])
 
-    rows = sorted(map(tuple, examples.mapInPandas(look, "f array<int>, y int, w double, half int, stop boolean").collect()))
-    if not rows:
-        return Endings(set(), np.zeros(BUCKETS, dtype=np.float32))
-    x = np.full((len(rows), 32), BUCKETS, dtype=np.int32)
-    for n, r in enumerate(rows):
-        x[n, : len(r[0])] = r[0]
-    return _fit_cleaned(x, *(np.array([r[k] for r in rows]) for k in (1, 2, 3, 4)), known)
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = sorted((tuple(f), y, w, half, stop) for b in batches for f, y, w, half, stop in b.itertuples(index=False))
+        if rows:
+            x = np.full((len(rows), 32), BUCKETS, dtype=np.int32)
+            for n, r in enumerate(rows):
+                x[n, : len(r[0])] = r[0]
+            yield pd.DataFrame({"weights": [_fit_cleaned(x, *(np.array([r[k] for r in rows]) for k in (1, 2, 3, 4)), known).weights.tobytes()]})
+
+    rows = examples.mapInPandas(look, "f array<int>, y int, w double, half int, stop boolean").repartition(1).mapInPandas(learn, "weights binary").collect()  # one row
+    return Endings(known if rows else set(), np.frombuffer(rows[0][0], dtype=np.float32) if rows else np.zeros(BUCKETS, dtype=np.float32))
 
 
 def _fit_cleaned(x: np.ndarray, y: np.ndarray, wt: np.ndarray, half: np.ndarray, stop: np.ndarray, known: set[str]) -> Endings:
@@ -228,35 +235,40 @@ def fit_lengths(n: float, s1: float, s2: float, censored: list[tuple[float, floa
     return mu, sd
 
 
-def censoring_posterior(length: int, at: float, total: float, mu: float, sd: float) -> float:
-    """The share of the ``at`` texts of exactly this length, of ``total``, that the law of whole lengths does not explain, less
-    what chance and copies of a text pile up among many lengths (three standard deviations and three texts)."""
+def censoring_posterior(length: int, at: float, total: float, mu: float, sd: float, around: float = 0.0) -> float:
+    """The share of the ``at`` texts of exactly this length, of ``total``, that neither the law of whole lengths nor the lengths
+    around (``around`` texts each) explain, less what chance piles up among many lengths (three standard deviations and three texts)."""
     z = (math.log(max(length, 1)) - mu) / sd
-    whole = total * math.exp(-0.5 * z * z) / (sd * math.sqrt(2 * math.pi) * max(length, 1))
+    whole = max(total * math.exp(-0.5 * z * z) / (sd * math.sqrt(2 * math.pi) * max(length, 1)), around)
     return min(max(1 - (whole + 3 * math.sqrt(whole) + 3) / at, 0.0), 0.995)
 
 
-def limits_by_source(documents: DataFrame, source: str, text: str) -> DataFrame:
+def limits_by_source(lengths: DataFrame) -> DataFrame:
     """Of each source, its fitted law and the posterior at its candidate limits: ``source``, ``unit`` (chars or bytes),
-    ``length``, ``n_at``, ``posterior``. A null source is a source of its own (the empty name)."""
-    lens = documents.filter(F.col(text).isNotNull()).select(F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.char_length(text).alias("chars"), F.octet_length(text).alias("bytes"))
-    both = lens.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("length")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("length")))).alias("x")).select("source", "x.*")
-    hist = both.groupBy("source", "unit", "length").agg(F.count(F.lit(1)).alias("c"))
+    ``length``, ``n_at``, ``posterior``. ``lengths``: ``source``, ``chars``, ``bytes`` and ``h``, a hash of the text; copies of a text count once,
+    as they have one length whatever it is."""
+    lens = lengths.filter(F.col("chars").isNotNull()).select("source", "chars", "bytes", "h").distinct()
+    pair = lambda unit: F.struct(F.lit(unit).alias("unit"), F.col(unit).alias("length"))
+    hist = lens.groupBy("source", "chars", "bytes").agg(F.count(F.lit(1)).alias("c")).select("source", "c", F.explode(F.array(pair("chars"), pair("bytes"))).alias("x"))
+    hist = hist.groupBy("source", "x.unit", "x.length").agg(F.sum("c").alias("c"))
+    near = Window.partitionBy("source", "unit").orderBy("length").rangeBetween(-AROUND, AROUND)  # over lengths, not texts
+    hist = staged(hist.withColumn("around", (F.sum("c").over(near) - F.col("c")) / (2 * AROUND)), "lengths")
     ln = F.log(F.greatest("length", F.lit(1)).cast("double"))
     sums = hist.groupBy("source", "unit").agg(F.sum("c").alias("n"), F.sum(F.col("c") * ln).alias("s1"), F.sum(F.col("c") * ln * ln).alias("s2"))
-    spikes = hist.filter(F.col("c") >= LIMIT_ROWS).join(sums.select("source", "unit", "n"), ["source", "unit"]).filter(F.col("c") >= LIMIT_SHARE * F.col("n"))
-    spikes = spikes.groupBy("source", "unit").agg(F.collect_list(F.struct("length", "c")).alias("spikes"))  # at most 1 / LIMIT_SHARE each
+    spikes = hist.filter((F.col("c") >= LIMIT_ROWS) & (F.col("c") > F.col("around") + 3 * F.sqrt("around") + 3))
+    spikes = spikes.groupBy("source", "unit").agg(F.collect_list(F.struct("length", "c", "around")).alias("spikes"))  # lengths that stand out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for r in b.itertuples():
-                at = sorted((int(x["length"]), int(x["c"])) for x in r.spikes)
-                left = r.n - sum(c for _, c in at)
-                s1 = r.s1 - sum(c * math.log(max(v, 1)) for v, c in at)
-                s2 = r.s2 - sum(c * math.log(max(v, 1)) ** 2 for v, c in at)
-                mu, sd = fit_lengths(left, s1, s2, [(math.log(max(v, 1)), c) for v, c in at])
-                out += [(r.source, r.unit, v, c, censoring_posterior(v, c, r.n, mu, sd)) for v, c in at]
+                at = sorted((int(x["length"]), int(x["c"]), float(x["around"])) for x in r.spikes)
+                over = [(v, max(c - a, 0.0)) for v, c, a in at]  # what stands out is censored, the rest is whole
+                left = r.n - sum(c for _, c in over)
+                s1 = r.s1 - sum(c * math.log(max(v, 1)) for v, c in over)
+                s2 = r.s2 - sum(c * math.log(max(v, 1)) ** 2 for v, c in over)
+                mu, sd = fit_lengths(left, s1, s2, [(math.log(max(v, 1)), c) for v, c in over])
+                out += [(r.source, r.unit, v, c, censoring_posterior(v, c, r.n, mu, sd, a)) for v, c, a in at]
             yield pd.DataFrame(out, columns=["source", "unit", "length", "n_at", "posterior"])
 
     return sums.join(spikes, ["source", "unit"]).mapInPandas(run, "source string, unit string, length int, n_at bigint, posterior double")
@@ -268,48 +280,36 @@ def truncated(documents: DataFrame, *, key: str = "doc_id", text: str = "text",
 
     A stop at the end is evidence like any other ending: the classifier has learnt stops of sentences as whole and points within
     keys and numbers as cuts, and the posterior of the limit is added. ``declared`` (may be None): a column with the length that the sender gave; one well above the text's own speaks for a cut. Null and empty
-    texts are never cut. Rows keep their multiplicity; other columns are ignored; an empty table gives no rows."""
+    texts are never cut. Rows keep their multiplicity; other columns are ignored; an empty table gives no rows.
+
+    The texts are read twice: once for lengths and endings, which are written out, and once for the sample."""
     spark = documents.sparkSession
     ship(spark)
-    model = spark.sparkContext.broadcast(fit_endings(documents, key, text, sample))
     told = F.col(declared).cast("double") if declared else F.lit(None).cast("double")
-    rows = documents.select(
-        F.col(key).alias("k"), F.col(source).alias("src"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.char_length(text).alias("chars"), F.octet_length(text).alias("bytes"),
-        told.alias("told"), F.when(F.char_length(text) > TAIL, F.substring(text, -TAIL, TAIL)).otherwise(F.col(text)).alias("tail"))
-    limits = limits_by_source(documents, source, text).groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct(F.concat("unit", F.lit(":"), "length"), "posterior"))).alias("posteriors"))
+    bare = F.rtrim(F.col(text), F.lit(BLANKS))
+    ends = documents.select(
+        F.col(key).alias("k"), F.col(source).alias("src"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.char_length(text).alias("chars"), F.octet_length(text).alias("bytes"), told.alias("told"),
+        F.when(F.char_length(bare) > TAIL, F.substring(bare, -TAIL, TAIL)).otherwise(bare).alias("tail"), (F.char_length(bare) < F.char_length(text)).alias("padded"), F.xxhash64(text).alias("h"))
+    ends = staged(ends, "ends")
+    model = spark.sparkContext.broadcast(fit_endings(documents, key, text, ends.count(), sample))
+    limits = limits_by_source(ends).filter("posterior > 0").groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct(F.concat("unit", F.lit(":"), "length"), "posterior"))).alias("posteriors"))
     limits = staged(limits, "limits")
     if fits_broadcast(limits.select("source")):
-        joined = rows.join(F.broadcast(limits), "source", "left")
+        joined = ends.join(F.broadcast(limits), "source", "left")
     else:
-        a, b = spread(rows, limits, ["source"])
+        a, b = spread(ends, limits, ["source"])
         joined = a.join(b, ["source", "__salt"], "left")
     at = F.greatest(*[F.coalesce(F.element_at("posteriors", F.concat(F.lit(f"{u}:"), F.col(u).cast("string"))), F.lit(0.0)) for u in ("chars", "bytes")])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = model.value
         for b in batches:
-            odds = []
-            for tail, chars, told_n in zip(b["tail"], b["chars"], b["told"], strict=True):
-                bare, marked = bare_ending(tail) if tail else ("", False)
-                if not bare:
-                    odds.append(-20.0)
-                    continue
-                stop = final_stop(bare)
-                if stop and marked:
-                    odds.append(4.0)
-                    continue
-                x = min(max(m.log_odds(bare), -8.0), 8.0) + (8.0 if marked else CLOSED_ODDS if len(bare) < len(tail) and not stop else 0.0)
-                if _OPEN_NUMBER.search(bare[-40:].rsplit("\n", 1)[-1]) or _open_line(bare):
-                    x += CLOSED_ODDS  # a number, or a key, that stops at its point
-                if told_n is not None and told_n == told_n and told_n > chars + 30 and told_n > 1.03 * chars:
-                    x += 3.0
-                odds.append(x)
-            b["ending_odds"] = odds
-            yield b.drop(columns=["tail", "told"])
+            b["ending_odds"] = [_odds(m, tail or "", bool(padded), chars, told_n) for tail, padded, chars, told_n in zip(b["tail"], b["padded"], b["chars"], b["told"], strict=True)]
+            yield b.drop(columns=["tail", "told", "padded"])
 
     kind = documents.schema[key].dataType.simpleString()
     skind = documents.schema[source].dataType.simpleString()
-    scored = joined.select("k", "src", "chars", "told", "tail", at.alias("limit_posterior")).mapInPandas(run, f"k {kind}, src {skind}, chars int, limit_posterior double, ending_odds double")
+    scored = widened(joined.select("k", "src", "chars", "told", "tail", "padded", at.alias("limit_posterior"))).mapInPandas(run, f"k {kind}, src {skind}, chars int, limit_posterior double, ending_odds double")
     scored = staged(scored, "endings")
     bins = scored.filter((F.col("limit_posterior") < 0.05) & F.col("chars").isNotNull()).groupBy(F.round(F.col("ending_odds"), 1).alias("x")).agg(F.count(F.lit(1)).alias("n")).collect()  # some 400 rows
     rate = broken_rate([(r[0], r[1]) for r in bins])
@@ -319,12 +319,28 @@ def truncated(documents: DataFrame, *, key: str = "doc_id", text: str = "text",
     return scored.select(F.col("k").alias(key), F.col("src").alias(source), F.col("chars").alias("length"), "limit_posterior", "ending_odds", p.alias("probability"), (p >= 0.5).alias("cut"))
 
 
+def _odds(model: Endings, tail: str, padded: bool, chars: int, told: float | None) -> float:
+    """Log-odds of a cut by the last characters of a text, its mark of omission, what closes it, and its declared length."""
+    bare, marked = bare_ending(tail)
+    if not bare:
+        return -20.0
+    stop = final_stop(bare)
+    if stop and marked:
+        return 4.0
+    x = min(max(model.log_odds(bare), -8.0), 8.0) + (8.0 if marked else CLOSED_ODDS if (padded or len(bare) < len(tail)) and not stop else 0.0)
+    if _OPEN_NUMBER.search(bare[-40:].rsplit("\n", 1)[-1]) or _open_line(bare):
+        x += CLOSED_ODDS  # a number, or a key, that stops at its point
+    if told is not None and told == told and told > chars + 30 and told > 1.03 * chars:
+        x += TOLD_ODDS
+    return x
+
+
 def broken_rate(bins: list[tuple[float, int]], rounds: int = 30) -> float:
     """The share of cut texts among those away from any limit, fitted to their odds (value, how many)."""
     total, r = sum(n for _, n in bins), 0.03
     for _ in range(rounds if total else 0):
         r = sum(n / (1 + math.exp(-min(max(math.log(r / (1 - r)) + x, -60), 60))) for x, n in bins) / total
-        r = min(max(r, 0.002), 0.3)
+        r = min(max(r, 1e-5), 0.9)
     return r
 
 

@@ -58,6 +58,8 @@ def test_the_bound_never_rules_out_a_passage(seed):
     weight, there = rng.random(n) * 3 + 0.05, rng.random(n) < 0.65
     best = max(weight[a:b][there[a:b]].sum() / weight[a:b].sum() for a in range(n) for b in range(a + 18, n + 1))
     assert K.may_hold(there[None], weight[None], 18)[0] == (best >= K.MIN_SHARE)
+    held = [(a, b) for a in range(n) for b in range(a + 18, n + 1) if weight[a:b][there[a:b]].sum() >= K.MIN_SHARE * weight[a:b].sum()]
+    assert K.reach(there, weight, 18) == ((min(a for a, _ in held), max(b for _, b in held)) if held else None)
 
 
 def test_word_ids_survive_a_small_bitmap():

@@ -37,8 +37,21 @@ def test_best_fit():
 
 def test_going_out_bounds_what_is_passed_up():
     loads = np.array([60] * 500 + [99, 100, 10])
-    out = packing.going_out(loads, 100, 0.99)
-    assert (~out).sum() == packing.PASS_UP + 1 and out[500] and out[501] and not out[502]
+    out = packing.going_out(loads, 100, 0.99, pass_up=65)
+    assert (~out).sum() == 65 and out[500] and out[501] and not out[502]
+    assert packing.going_out(loads, 100, 0.99).sum() == 2
+
+
+@pytest.mark.parametrize("chunk", [250, 10_000])
+def test_partitions_of_unlike_sizes(spark, chunk):
+    """Items of 1,300 tokens in some partitions, of 740 in others: neither fills containers by itself."""
+    count = counter()
+    sized = {n: next(t for k in range(1, 3000) if count([t := "a " * k])[0] == n) for n in (1300, 740)}
+    rows = [(i, sized[1300 if i < 600 else 740]) for i in range(1200)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "doc_id int, text string")
+    got = pack(df, chunk=chunk)
+    assert got.count() == 1200 and waste(got).first()["share_left"] < 0.05
+    check_places([(r["container"], r["place"], r["n_tokens"]) for r in got.collect()], packing.CAPACITY)
 
 
 @pytest.mark.parametrize("fan_in,chunk", [(2, 7), (3, 10_000)])
