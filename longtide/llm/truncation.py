@@ -31,6 +31,8 @@ TAIL = 400
 LIMIT_ROWS, AROUND = 5, 25
 #: Log-odds of blanks or closing markup after an ending without a stop; whole texts hardly ever end so.
 CLOSED_ODDS = 5.0
+#: Log-odds of a number, or a key, of a data line that stops at its point.
+OPEN_ODDS = 7.0
 #: Log-odds of a declared length well above the text's own.
 TOLD_ODDS = 3.0
 #: What ends texts without being part of them.
@@ -68,11 +70,15 @@ def final_stop(text: str) -> bool:
 
 
 def _open_line(text: str) -> bool:
-    """True if the last line has no blank, ends with a point, and a data line before it begins in the same shape and goes on."""
+    """True if the last line has no blank, ends with a point, and a data line before it begins in the same shape and goes on, or the
+    line is a key of several parts where the data line just before has more fields."""
     *before, line = text[-TAIL:].rstrip().split("\n")
     if not line.endswith(".") or _BLANK.search(line):
         return False
     shape = _WORD.sub("a", line)
+    fields = len(_FIELD.findall(line))
+    if before and not _BLANK.search(before[-1]) and len(_FIELD.findall(before[-1])) > fields == 0 and len(_WORD.findall(line)) > 1:
+        return True
     return any(_FIELD.search(x) and not _BLANK.search(x) and len(y := _WORD.sub("a", x)) > len(shape) and y.startswith(shape) and not _FINAL.search(x) for x in before)
 
 
@@ -329,7 +335,7 @@ def _odds(model: Endings, tail: str, padded: bool, chars: int, told: float | Non
         return 4.0
     x = min(max(model.log_odds(bare), -8.0), 8.0) + (8.0 if marked else CLOSED_ODDS if (padded or len(bare) < len(tail)) and not stop else 0.0)
     if _OPEN_NUMBER.search(bare[-40:].rsplit("\n", 1)[-1]) or _open_line(bare):
-        x += CLOSED_ODDS  # a number, or a key, that stops at its point
+        x += OPEN_ODDS
     if told is not None and told == told and told > chars + 30 and told > 1.03 * chars:
         x += TOLD_ODDS
     return x
