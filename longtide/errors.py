@@ -17,6 +17,10 @@ class EmptyRefusal(LongtideError):
     """A write would publish no rows."""
 
 
+class ReportRefusal(LongtideError):
+    """More new rows than the caller declared a report of changed series for."""
+
+
 class UnsupportedFilter(LongtideError):
     """A filter that this engine does not answer; it is refused, never ignored."""
 

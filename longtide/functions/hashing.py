@@ -23,6 +23,13 @@ def content_fingerprint(cols: list[str]) -> Column:
     return F.sum(row_hash64(cols).cast("decimal(38,0)"))
 
 
+def portable_fingerprint(cols: list[str]) -> Column:
+    """The same kind of fingerprint from MD5, which any engine can compute: the sum of the first 60 bits of the digests of
+    ``=value`` or ``~`` (null), each followed by a unit separator."""
+    text = F.concat(*[x for c in cols for x in (F.when(F.col(c).isNull(), "~").otherwise(F.concat(F.lit("="), F.col(c).cast("string"))), F.lit("\x1f"))])
+    return F.sum(F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)"))
+
+
 def exact_token(values: list[str], kinds: dict[str, str]) -> Column:
     """A column that tells values apart in null-safe comparisons between neighbours. One number, date or truth value is its own
     exact hash (null equals null, NaN equals NaN, zeros are equal) and packs better than a scrambled one; one text or other value

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import UnsupportedFilter
+from .skew import fits_broadcast
 
 # Languages of localised titles.
 LANGUAGES = ("en", "ar", "es", "fr", "ru", "zh")
@@ -131,13 +132,16 @@ def bundle_reasons(asked: DataFrame, catalogue: DataFrame, gates: DataFrame, wit
     j = asked.select("series_id").distinct().join(catalogue.groupBy("series_id").agg(F.max("source_id").alias("source_id"), F.lit(True).alias("found")), "series_id", "left")
     j = j.join(gates.groupBy("series_id").agg(F.max("gate").alias("gate")), "series_id", "left").join(flag(served, "served"), "series_id", "left")
     j = j.join(flag(withheld, "held"), "series_id", "left") if withheld is not None else j.withColumn("held", F.lit(True))
-    reason = F.when(F.col("found").isNull(), "not_found").when(F.col("gate") != "open", "gate").when(F.col("held"), "withheld").when(F.col("served").isNull(), "not_migrated").otherwise("ok")
+    reason = F.when(F.col("gate") != "open", "gate").when(F.col("held"), "withheld").when(F.col("found").isNull(), "not_found").when(F.col("served").isNull(), "not_migrated").otherwise("ok")
     return j.select("series_id", "source_id", reason.alias("reason"))
 
 
 def manifest(reasons: DataFrame) -> DataFrame:
-    """Per source and reason: how many ids, and the ids in order."""
-    return reasons.groupBy("source_id", "reason").agg(F.count(F.lit(1)).alias("n_series"), F.sort_array(F.collect_list("series_id")).alias("series_ids"))
+    """The ids as rows, each with how many its source and reason have. The counts are joined on, so that no source is gathered in
+    one task."""
+    n = reasons.groupBy(F.col("source_id").alias("__s"), F.col("reason").alias("__r")).agg(F.count(F.lit(1)).alias("n_series"))
+    n = F.broadcast(n) if fits_broadcast(n) else n
+    return reasons.join(n, F.col("source_id").eqNullSafe(F.col("__s")) & (F.col("reason") == F.col("__r"))).select("source_id", "reason", "series_id", "n_series")
 
 
 def grain_audit(store: DataFrame, catalogue: DataFrame, by: str = "source_id") -> DataFrame:

@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import EmptyRefusal, SchemaRefusal, ShrinkRefusal
+from ..errors import EmptyRefusal, ReportRefusal, SchemaRefusal, ShrinkRefusal
+from ..session import staged
 
 KEYS = ("series_key", "obs_date")
 _NEW = 1 << 61
@@ -77,18 +78,23 @@ def guard(n_old: int, n_new: int, min_ratio: float = 0.97, allow_empty: bool = F
 
 def merge_and_write(
     spark: SparkSession, path: str, incoming: DataFrame, *, mode: str = "merge", keys: list[str] = KEYS, min_ratio: float = 0.97, allow_empty: bool = False,
-    report_changed: bool = False, position: str | None = None,
+    report_changed: bool = False, report_cap: int | None = None, position: str | None = None,
 ) -> tuple[int, object, DataFrame | None]:
-    """Merge ``incoming`` into the Parquet table at ``path`` (or overwrite it), behind the guards, and publish in one rename.
-    Returns the number of rows, the last date, and the changed series if asked for (merge mode only). The new table is
-    written beside the old one, sorted by the keys within files, so a failed write leaves the old one as it was."""
+    """Merge ``incoming`` into the Parquet table at ``path`` (or overwrite it), behind the guards. Returns the number of rows, the last
+    date, and the changed series if asked for (merge mode only; refused before anything is read if there are more than ``report_cap``
+    new rows). The new table is written beside the old one, in key order over all files (nulls last), so a failed write leaves the old
+    one as it was. Publishing sets the old table aside and moves the new one in; should that be broken off in between, the
+    next call, or ``recover``, finishes it."""
     if mode not in ("merge", "overwrite"):
         raise ValueError(mode)
     if report_changed and mode != "merge":
         raise ValueError("changed series are reported for merges only")
     if lacking := [k for k in keys if k not in incoming.columns]:
         raise SchemaRefusal(f"key columns {lacking} do not exist")
+    if report_changed and report_cap is not None and incoming.limit(report_cap + 1).count() > report_cap:
+        raise ReportRefusal(f"more than {report_cap} new rows")
     fs, jpath = _fs(spark, path)
+    recover(spark, path)
     stored = spark.read.parquet(path) if fs.exists(jpath(path)) else None
     n_old = stored.count() if stored is not None else 0
     if mode == "merge" and stored is not None:
@@ -98,7 +104,8 @@ def merge_and_write(
     else:
         result = incoming
     side = f"{path}.new-{uuid.uuid4().hex[:8]}"
-    result.repartition(*[F.col(k) for k in keys[:1]]).sortWithinPartitions(*[F.col(k).asc_nulls_last() for k in keys]).write.parquet(side)
+    order = [F.col(k).asc_nulls_last() for k in keys]
+    result.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(side)
     written = spark.read.parquet(side)
     n, last = written.agg(F.count(F.lit(1)), F.max(keys[-1])).first()
     try:
@@ -108,18 +115,33 @@ def merge_and_write(
         raise
     changed = None
     if report_changed:
-        from ..session import staged
-
         changed = staged(changed_keys(stored if stored is not None else incoming.limit(0), incoming, keys, position=position if stored is None or position in stored.columns else None), "changed")
-    old = f"{path}.old-{uuid.uuid4().hex[:8]}"
-    if stored is not None:
-        fs.rename(jpath(path), jpath(old))
-    fs.rename(jpath(side), jpath(path))
-    if stored is not None:
-        fs.delete(jpath(old), True)
+    ready = f"{path}.ready"
+    fs.rename(jpath(side), jpath(ready))  # from here on the new table counts
+    _publish(fs, jpath, path, ready)
     return n, last, changed
 
 
+def _publish(fs, jpath, path: str, ready: str) -> None:
+    old = f"{path}.old"
+    if fs.exists(jpath(path)):
+        fs.rename(jpath(path), jpath(old))
+    fs.rename(jpath(ready), jpath(path))
+    fs.delete(jpath(old), True)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish a publication that was broken off; True if there was one."""
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath(f"{path}.ready")):
+        fs.delete(jpath(f"{path}.old"), True)
+        return False
+    if fs.exists(jpath(path)):
+        fs.delete(jpath(f"{path}.old"), True)
+    _publish(fs, jpath, path, f"{path}.ready")
+    return True
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     make = jvm.org.apache.hadoop.fs.Path
@@ -195,10 +217,28 @@ def supersede(old: DataFrame, new: DataFrame, key: Column, keys: list[str] = KEY
 
 
 def keep_served(old: DataFrame, new: DataFrame, keys: list[str] = KEYS, value: str = "value") -> DataFrame:
-    """The new value of each key, the old one where the new table lacks the key. Both have unique keys and equal columns."""
+    """The new value of each key, the old one where the new table lacks the key. Refused where the two cannot be merged safely: other
+    columns, a key that stands twice in one of them, or dates given as text that are not exactly YYYY-MM-DD."""
     if sorted(old.columns) != sorted(new.columns):
         raise SchemaRefusal("the columns of the two tables differ")
-    return _sided(old, new, [*keys, value]).groupBy(*keys).agg(F.max_by(value, "__s").alias(value))
+    both = _sided(old, new, [*keys, value])
+    per = both.groupBy(*keys).agg(F.max_by(value, "__s").alias(value), F.greatest(F.count_if(F.col("__s") == 0), F.count_if(F.col("__s") == 1)).alias("__n"))
+    odd = ~F.coalesce(F.col(keys[-1]).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.lit(False)) if dict(old.dtypes)[keys[-1]] == "string" else F.lit(False)
+    twice, unclear = per.agg(F.coalesce(F.bool_or(F.col("__n") > 1), F.lit(False)), F.coalesce(F.bool_or(odd), F.lit(False))).first()
+    if twice or unclear:
+        raise SchemaRefusal("a key stands twice in one table" if twice else "a date is not written YYYY-MM-DD")
+    return per.drop("__n")
+
+
+#: A delivery that spells more than this share of the known series another way is held.
+RESPELLED_SHARE = 0.05
+
+
+def respelled_held(counts: DataFrame, share: float = RESPELLED_SHARE) -> DataFrame:
+    """The counts of ``respelled_split`` with ``held``: more than ``share`` of the staged keys of known series come in another spelling,
+    so that merging them would double these series."""
+    known = F.col("n_known") + F.col("n_extended") + F.col("n_respelled")
+    return counts.withColumn("held", F.col("n_respelled") > share * known)
 
 
 def respelled_split(stored: DataFrame, staged: DataFrame, norm: Column, keys: list[str] = KEYS) -> DataFrame:

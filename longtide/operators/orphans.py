@@ -12,7 +12,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import fits_broadcast, spread
+from .skew import BROADCAST_ROWS, fits_broadcast, spread
 
 
 @dataclass(frozen=True)
@@ -38,13 +38,13 @@ def blank_as_null(c: Column) -> Column:
     return F.when(~c.rlike(r"^[\s  -​　]*$"), c)
 
 
-def orphans(child: DataFrame, ref: Reference, keep: list[str]) -> DataFrame:
+def orphans(child: DataFrame, ref: Reference, keep: list[str], broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The rows of ``child`` whose reference finds no target that holds on their day: columns ``keep`` (prefixed ``k_``
     inside, so that names may clash with the parent's), once per row of ``child``.
 
     Blank texts in reference columns count as null; otherwise keys are compared exactly. A child without a day has
     its reference checked as if nothing held then. A target without ``holds_from`` never holds; one without ``holds_to``
-    still does. Parents are broadcast only if measured to be small; beyond that, hot keys are salted."""
+    still does. Parents are broadcast only if measured to have at most ``broadcast_rows`` rows; beyond that, hot keys are salted."""
     if ref.match not in ("simple", "full", "partial"):
         raise ValueError(f"unknown match semantics: {ref.match}")
     n = len(ref.columns)
@@ -58,7 +58,7 @@ def orphans(child: DataFrame, ref: Reference, keep: list[str]) -> DataFrame:
     if ref.holds_from:
         parent = parent.filter(F.col("start").isNotNull())
     parent = parent.distinct()
-    small = fits_broadcast(parent)
+    small = broadcast_rows > 0 and fits_broadcast(parent, broadcast_rows)
     found = []
     for mask in product((True, False), repeat=n):  # which columns are set; 2 ** n masks of a declared key
         on = [i for i in range(n) if mask[i]]

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import SchemaRefusal
-from ..functions.hashing import content_fingerprint
+from ..functions.hashing import content_fingerprint, portable_fingerprint
 from ..functions.periods import frequency_of_gap
 from ..session import staged
+from .skew import fits_broadcast
 
 
 def bilateral_totals(flows: DataFrame, a: str, b: str, year: str, measures: dict[str, str], codes: DataFrame | None = None) -> DataFrame:
@@ -43,15 +44,20 @@ def depth_census(df: DataFrame, separator: str, depths: list[int], key: str = "s
     return pre.groupBy("depth").agg(F.count(F.lit(1)).alias("n_prefixes"))
 
 
+#: Relative standard error of approximate distinct counts.
+HLL_ERROR = 0.02
+
+
 def distinct_census(df: DataFrame, by: str, key: str, ceiling: int | None = None) -> DataFrame:
     """Distinct keys per group, and by which ``method``: exact up to ``ceiling`` rows of a group, HyperLogLog beyond (null:
     always exact). An approximate count says so and must not be used to call a key missing."""
     exact = df.groupBy(by, key).agg(F.count(F.lit(1)).alias("c")).groupBy(by).agg(F.count(key).alias("n_exact"), F.sum("c").alias("n_rows"))
     if ceiling is None:
         return exact.select(by, F.col("n_exact").alias("n_keys"), F.lit("exact").alias("method"), "n_rows")
-    sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), F.approx_count_distinct(key, 0.02).alias("n_hll"))
-    small = df.join(F.broadcast(sizes.filter(F.col("n_rows") <= ceiling).select(by)), by, "left_semi").groupBy(by, key).agg(F.lit(1)).groupBy(by).agg(F.count(key).alias("n_exact"))
-    return sizes.join(small, by, "left").select(by, F.coalesce("n_exact", "n_hll").alias("n_keys"), F.when(F.col("n_exact").isNull(), "hll").otherwise("exact").alias("method"), "n_rows")
+    sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), F.approx_count_distinct(key, HLL_ERROR).alias("n_hll"))
+    few = sizes.filter(F.col("n_rows") <= ceiling).select(F.col(by).alias("__by"))
+    small = df.join(F.broadcast(few) if fits_broadcast(few) else few, F.col(by).eqNullSafe(F.col("__by")), "left_semi").groupBy(by, key).agg(F.lit(1)).groupBy(F.col(by).alias("__by")).agg(F.count(key).alias("n_exact"))
+    return sizes.join(small, F.col(by).eqNullSafe(F.col("__by")), "left").select(by, F.coalesce("n_exact", "n_hll").alias("n_keys"), F.when(F.col("n_exact").isNull(), "hll").otherwise("exact").alias("method"), "n_rows")
 
 
 def convention(df: DataFrame, by: str, date: str = "obs_date") -> DataFrame:
@@ -91,9 +97,10 @@ def split_choice(df: DataFrame, dims: list[str], max_rows: int, least: int = 2,
     return per.crossJoin(F.broadcast(best)).select("dim", "n_parts", "largest", "fits", F.coalesce(F.col("b.dim") == F.col("dim"), F.lit(False)).alias("chosen"))
 
 
-def fingerprints(df: DataFrame, by: str, cols: list[str]) -> DataFrame:
-    """Order-free fingerprint of each group's rows; repeated rows and nulls count."""
-    return df.groupBy(by).agg(content_fingerprint(cols).alias("fingerprint"), F.count(F.lit(1)).alias("n_rows"))
+def fingerprints(df: DataFrame, by: str, cols: list[str], portable: bool = False) -> DataFrame:
+    """Order-free fingerprint of each group's rows; repeated rows and nulls count. ``portable``: one that other engines can
+    compute too."""
+    return df.groupBy(by).agg((portable_fingerprint if portable else content_fingerprint)(cols).alias("fingerprint"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def crosswalk(left: DataFrame, right: DataFrame, key: str = "series_key", date: str = "obs_date", value: str = "value", digits: int = 9, fanout: int = 50, least: int = 8, top: int = 50) -> DataFrame:

@@ -11,7 +11,7 @@ from ..functions import periods as P
 from ..operators import audits, catalogue, merge, rollups, series, timejoin
 from ..operators import freshness as fresh
 from ..session import table
-from .views import LINE_OBS, RUNS, delivery, delivery_sql, line_obs, runs, stored, stored_sql
+from .views import LINE_OBS, RUNS, delivery, delivery_sql, line_obs, nan_apart, nan_apart_sql, runs, stored, stored_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -123,10 +123,10 @@ def fetch_since(spark, d):
 _MERGED = f"(SELECT *, 0 AS side FROM {delivery_sql(1)} UNION ALL SELECT *, 1 AS side FROM {delivery_sql(2)})"
 
 
-@query(f"SELECT series_key, obs_date, value FROM (SELECT *, row_number() OVER (PARTITION BY series_key, obs_date ORDER BY side DESC, row_no DESC) AS rn FROM {_MERGED}) WHERE rn = 1")
+@query(nan_apart_sql(f"SELECT series_key, obs_date, value FROM (SELECT *, row_number() OVER (PARTITION BY series_key, obs_date ORDER BY side DESC, row_no DESC) AS rn FROM {_MERGED}) WHERE rn = 1"))
 def merge_keep_last(spark, d):
     a, b = (delivery(spark, d, n).drop("source_id") for n in (1, 2))
-    return merge.merge_keep_last(a, b, position="row_no")
+    return nan_apart(merge.merge_keep_last(a, b, position="row_no"))
 
 
 @query(f"""WITH m AS (SELECT *, row_number() OVER (PARTITION BY series_key, obs_date ORDER BY side DESC, row_no DESC) AS rn, row_number() OVER (PARTITION BY series_key, obs_date, side ORDER BY row_no DESC) AS rs FROM {_MERGED}),
@@ -143,9 +143,9 @@ def merge_counts(spark, d):
     return merge.merge_counts(a, b, position="row_no")
 
 
-@query(f"SELECT series_key, obs_date, value FROM (SELECT *, row_number() OVER (PARTITION BY series_key, obs_date ORDER BY row_no) AS rn FROM {delivery_sql(3)}) WHERE rn = 1")
+@query(nan_apart_sql(f"SELECT series_key, obs_date, value FROM (SELECT *, row_number() OVER (PARTITION BY series_key, obs_date ORDER BY row_no) AS rn FROM {delivery_sql(3)}) WHERE rn = 1"))
 def read_first_wins(spark, d):
-    return merge.first_wins(delivery(spark, d, 3).drop("source_id"), ["series_key", "obs_date"], "row_no")
+    return nan_apart(merge.first_wins(delivery(spark, d, 3).drop("source_id"), ["series_key", "obs_date"], "row_no"))
 
 
 @query(f"SELECT split_part(series_key, ':', 2) AS table_key, obs_date, max(value) AS value FROM {LINE_OBS} GROUP BY ALL")
@@ -185,10 +185,10 @@ def key_overlap(spark, d):
     return merge.key_overlap(stored(spark, d, 1), stored(spark, d, 2))
 
 
-@query("""WITH g AS (SELECT metric, obs_date, value, vintage_date, sum(a) AS a, sum(b) AS b FROM (SELECT metric, obs_date, CASE WHEN value = 0 THEN 0.0 ELSE value END AS value, vintage_date, 1 AS a, 0 AS b FROM facts UNION ALL SELECT metric, obs_date, CASE WHEN value = 0 THEN 0.0 ELSE value END, vintage_date, 0, 1 FROM facts_mirror) GROUP BY ALL)
-  SELECT metric, obs_date, value, vintage_date FROM (SELECT metric, obs_date, value, vintage_date, unnest(range(greatest(a, b)::BIGINT)) AS i FROM g)""")
+@query(nan_apart_sql("""WITH g AS (SELECT metric, obs_date, value, vintage_date, sum(a) AS a, sum(b) AS b FROM (SELECT metric, obs_date, CASE WHEN value = 0 THEN 0.0 ELSE value END AS value, vintage_date, 1 AS a, 0 AS b FROM facts UNION ALL SELECT metric, obs_date, CASE WHEN value = 0 THEN 0.0 ELSE value END, vintage_date, 0, 1 FROM facts_mirror) GROUP BY ALL)
+  SELECT metric, obs_date, value, vintage_date FROM (SELECT metric, obs_date, value, vintage_date, unnest(range(greatest(a, b)::BIGINT)) AS i FROM g)"""))
 def multiset_union(spark, d):
-    return merge.multiset_union(table(spark, d, "facts"), table(spark, d, "facts_mirror"), ["metric", "obs_date", "value", "vintage_date"])
+    return nan_apart(merge.multiset_union(table(spark, d, "facts"), table(spark, d, "facts_mirror"), ["metric", "obs_date", "value", "vintage_date"]))
 
 
 @query("SELECT count(*) AS n_lost FROM (SELECT metric, obs_date, value, vintage_date FROM facts EXCEPT ALL SELECT metric, obs_date, value, vintage_date FROM facts_mirror)")
@@ -204,14 +204,14 @@ def intersect_keys(spark, d):
     return table(spark, d, "series").select("series_id").intersect(table(spark, d, "sent").select("series_id"))
 
 
-@query(f"SELECT series_key, obs_date, value FROM {stored_sql(2)} UNION ALL SELECT o.* FROM {stored_sql(1)} o WHERE NOT EXISTS (SELECT 1 FROM {stored_sql(2)} n WHERE lower(n.series_key) IS NOT DISTINCT FROM lower(o.series_key) AND n.obs_date IS NOT DISTINCT FROM o.obs_date)")
+@query(nan_apart_sql(f"SELECT series_key, obs_date, value FROM {stored_sql(2)} UNION ALL SELECT o.* FROM {stored_sql(1)} o WHERE NOT EXISTS (SELECT 1 FROM {stored_sql(2)} n WHERE lower(n.series_key) IS NOT DISTINCT FROM lower(o.series_key) AND n.obs_date IS NOT DISTINCT FROM o.obs_date)"))
 def supersede(spark, d):
-    return merge.supersede(stored(spark, d, 1), stored(spark, d, 2), F.lower("series_key"))
+    return nan_apart(merge.supersede(stored(spark, d, 1), stored(spark, d, 2), F.lower("series_key")))
 
 
-@query(f"SELECT coalesce(series_key) AS series_key, coalesce(db, da) AS obs_date, CASE WHEN xb = 1 THEN vb ELSE va END AS value FROM {_FULL}")
+@query(nan_apart_sql(f"SELECT coalesce(series_key) AS series_key, coalesce(db, da) AS obs_date, CASE WHEN xb = 1 THEN vb ELSE va END AS value FROM {_FULL}"))
 def keep_served(spark, d):
-    return merge.keep_served(stored(spark, d, 1), stored(spark, d, 2))
+    return nan_apart(merge.keep_served(stored(spark, d, 1), stored(spark, d, 2)))
 
 
 _NORM = "regexp_replace(upper(series_key), '[^A-Z0-9]', '', 'g')"
@@ -262,9 +262,14 @@ def distinct_census(spark, d):
     return rollups.distinct_census(table(spark, d, "obs_snapshots"), "source_id", "series_key").withColumn("n_rows", F.col("n_rows").cast("bigint"))
 
 
-@query(None)
+@query("SELECT source_id, CASE WHEN count(*) <= 5000 THEN 'exact' ELSE 'hll' END AS method, count(*) AS n_rows, true AS within_bound FROM obs_snapshots GROUP BY 1")
 def approx_distinct(spark, d):
-    return rollups.distinct_census(table(spark, d, "obs_snapshots"), "source_id", "series_key", ceiling=5_000)
+    """Approximate counts within three standard errors of the exact ones, those of small groups exact."""
+    t = table(spark, d, "obs_snapshots")
+    some = rollups.distinct_census(t, "source_id", "series_key", ceiling=5_000)
+    exact = rollups.distinct_census(t, "source_id", "series_key").select(F.col("source_id").alias("s"), F.col("n_keys").alias("n_exact"))
+    off = F.abs(F.col("n_keys") - F.col("n_exact")) <= F.when(F.col("method") == "hll", 3 * rollups.HLL_ERROR * F.col("n_exact")).otherwise(0)
+    return some.join(exact, F.col("source_id").eqNullSafe(F.col("s"))).select("source_id", "method", "n_rows", off.alias("within_bound"))
 
 
 @query(f"SELECT series_key, strftime(max(obs_date), '%Y-%m-%d') AS last_date FROM {delivery_sql(6)} WHERE series_key IS NOT NULL AND obs_date IS NOT NULL GROUP BY 1")
@@ -299,9 +304,15 @@ def data_through(spark, d):
     return catalogue.data_through(table(spark, d, "series"))
 
 
-@query(None)
+_PRINTED = "CASE WHEN isnan(value) THEN 'NaN' ELSE CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) END"
+_PRINT_TEXT = " || ".join(f"CASE WHEN {c} IS NULL THEN '~' ELSE '=' || CAST({c} AS VARCHAR) END || chr(31)" for c in ("metric", "obs_date", "value", "vintage_date"))
+
+
+@query(f"SELECT metric, CAST(sum(CAST(CAST('0x' || substr(md5({_PRINT_TEXT}), 1, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS fingerprint, count(*) AS n_rows FROM (SELECT metric, obs_date, {_PRINTED} AS value, vintage_date FROM facts) GROUP BY 1")
 def content_fingerprint(spark, d):
-    return rollups.fingerprints(table(spark, d, "facts"), "metric", ["metric", "obs_date", "value", "vintage_date"])
+    """Fingerprints that other engines can compute too; values count in hundredths."""
+    t = table(spark, d, "facts").withColumn("value", F.when(F.isnan("value"), "NaN").otherwise(F.round(F.col("value") * 100).cast("bigint").cast("string")))
+    return rollups.fingerprints(t, "metric", ["metric", "obs_date", "value", "vintage_date"], portable=True).withColumn("fingerprint", F.col("fingerprint").cast("string"))
 
 
 @query(f"SELECT count(*)::BIGINT AS n_rows, count(DISTINCT (series_key, obs_date)) AS n_keys, count(*) = count(DISTINCT (series_key, obs_date)) AS is_unique FROM {LINE_OBS}")
@@ -460,11 +471,11 @@ def same_period_join(spark, d):
     return timejoin.same_period(line_obs(spark, d).drop("value"), right, left_grain="daily", left_stamp="date", right_grain="monthly", right_stamp="start")
 
 
-@query("""SELECT read_id, metric, known_value FROM (SELECT r.read_id, r.metric, f.value AS known_value, row_number() OVER (PARTITION BY r.read_id ORDER BY f.vintage_date DESC NULLS LAST, f.obs_date DESC NULLS LAST, f.fact_id DESC NULLS LAST) AS rn
-  FROM asof_reads r LEFT JOIN facts f ON r.metric = f.metric AND f.vintage_date + INTERVAL 16 HOUR <= r.read_at AT TIME ZONE 'UTC') WHERE rn = 1""")
+@query(nan_apart_sql("""SELECT read_id, metric, known_value FROM (SELECT r.read_id, r.metric, f.value AS known_value, row_number() OVER (PARTITION BY r.read_id ORDER BY f.vintage_date DESC NULLS LAST, f.obs_date DESC NULLS LAST, f.fact_id DESC NULLS LAST) AS rn
+  FROM asof_reads r LEFT JOIN facts f ON r.metric = f.metric AND f.vintage_date + INTERVAL 16 HOUR <= r.read_at AT TIME ZONE 'UTC') WHERE rn = 1""", "known_value"))
 def as_known_join(spark, d):
     f = table(spark, d, "facts").withColumn("known_at", (F.unix_seconds(F.col("vintage_date").cast("timestamp")) + 16 * 3600).cast("timestamp"))
-    return timejoin.last_known(table(spark, d, "asof_reads").select("read_id", "metric", "read_at"), f, on=["metric"], row_at="read_at", known_at="known_at", order=["obs_date", "fact_id"]).select("read_id", "metric", "known_value")
+    return nan_apart(timejoin.last_known(table(spark, d, "asof_reads").select("read_id", "metric", "read_at"), f, on=["metric"], row_at="read_at", known_at="known_at", order=["obs_date", "fact_id"]).select("read_id", "metric", "known_value"), "known_value")
 
 
 # --- catalogue ----------------------------------------------------------------------------------------------------------------------
@@ -522,15 +533,15 @@ def carve_outs(spark, d):
 
 
 _REASONS = f"""(WITH a AS (SELECT DISTINCT series_id FROM (SELECT series_id FROM series_served UNION ALL SELECT series_id FROM sent)), c AS (SELECT series_id, max(source_id) AS source_id FROM series GROUP BY 1), g AS (SELECT series_id, max(gate) AS gate FROM ({ORACLE['license_gate']}) GROUP BY 1)
-  SELECT a.series_id, c.source_id, CASE WHEN c.series_id IS NULL THEN 'not_found' WHEN g.gate <> 'open' THEN 'gate' WHEN a.series_id NOT IN (SELECT series_id FROM series_served) THEN 'not_migrated' ELSE 'ok' END AS reason FROM a LEFT JOIN c ON a.series_id = c.series_id LEFT JOIN g ON a.series_id = g.series_id)"""
+  SELECT a.series_id, c.source_id, CASE WHEN g.gate <> 'open' THEN 'gate' WHEN h.series_id IS NOT NULL THEN 'withheld' WHEN c.series_id IS NULL THEN 'not_found' WHEN a.series_id NOT IN (SELECT series_id FROM series_served) THEN 'not_migrated' ELSE 'ok' END AS reason FROM a LEFT JOIN c ON a.series_id = c.series_id LEFT JOIN g ON a.series_id = g.series_id LEFT JOIN (SELECT DISTINCT series_id FROM series_served WHERE frequency = 'W') h ON a.series_id = h.series_id)"""
 
 
-@query(f"SELECT source_id, reason, count(*) AS n_series, md5(string_agg(series_id, ',' ORDER BY encode(series_id))) AS ids_md5 FROM {_REASONS} GROUP BY ALL")
+@query(f"SELECT source_id, reason, series_id, count(*) OVER (PARTITION BY source_id, reason) AS n_series FROM {_REASONS}")
 def bundle_manifest(spark, d):
     s, served = table(spark, d, "series"), table(spark, d, "series_served")
     asked = served.select("series_id").unionByName(table(spark, d, "sent").select("series_id"))
-    r = catalogue.bundle_reasons(asked, s, license_gate(spark, d), served.limit(0), served)
-    return catalogue.manifest(r).select("source_id", "reason", "n_series", F.md5(F.array_join("series_ids", ",").cast("binary")).alias("ids_md5"))
+    r = catalogue.bundle_reasons(asked, s, license_gate(spark, d), served.filter("frequency = 'W'"), served)
+    return catalogue.manifest(r)
 
 
 @query("""WITH a AS (SELECT source_id, count(DISTINCT series_key) AS x FROM obs_snapshots WHERE series_key IS NOT NULL GROUP BY 1), b AS (SELECT source_id, count(DISTINCT series_id) AS y FROM series WHERE series_id IS NOT NULL GROUP BY 1)

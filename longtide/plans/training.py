@@ -10,6 +10,7 @@ from ..operators.copies import catalogue_row_hash, group_differences, keyed_diff
 from ..operators.orphans import Reference, orphan_report, orphans
 from ..operators.snapshots import observation_changes
 from ..session import table
+from .views import _DAY, nan_apart, nan_apart_sql
 
 #: The twelve string columns of a catalogue row, in the order in which they are hashed.
 CATALOGUE = ["series_id", "source_id", "title", "frequency", "unit", "geography", "category", "license_id", "start_date", "end_date", "last_updated", "metadata"]
@@ -21,7 +22,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_values(spark: SparkSession, d: str) -> DataFrame:
     """The figure that each read got."""
-    return as_known(table(spark, d, "asof_reads"), table(spark, d, "facts"), event_columns=["read_id", "metric", "reader"], fact_columns=["fact_id", "value", "vintage_date"])
+    return nan_apart(as_known(table(spark, d, "asof_reads"), table(spark, d, "facts"), event_columns=["read_id", "metric", "reader"], fact_columns=["fact_id", "value", "vintage_date"]))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -61,6 +62,25 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def _pairs(spark: SparkSession, d: str, match: str) -> DataFrame:
+    child = table(spark, d, "series").select("series_id", "source_id", "license_id").distinct()
+    ref = Reference("source_id,license_id", ["source_id", "license_id"], table(spark, d, "source_list"), ["source_id", "license_id"], match=match)
+    return orphans(child, ref, ["series_id"]).select(F.lit(match).alias("match"), F.col("series_id").alias("row_key"))
+
+
+def p4_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """A composite reference, partly null: series whose publisher and licence together are no row of ``source_list``, under each of the
+    declared semantics. All four null masks occur."""
+    return _pairs(spark, d, "simple").unionByName(_pairs(spark, d, "full")).unionByName(_pairs(spark, d, "partial"))
+
+
+def p4_salted(spark: SparkSession, d: str) -> DataFrame:
+    """Catalogue rows that the manifest of what was sent lacks: a parent that is never broadcast, joined with hot keys spread over salts."""
+    child = table(spark, d, "series_served").select("series_id", "source_id").distinct()
+    ref = Reference("series_id", ["series_id"], table(spark, d, "sent"), ["series_id"])
+    return orphans(child, ref, ["series_id", "source_id"], broadcast_rows=0)
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     series, served, sent = (table(spark, d, t) for t in ("series", "series_served", "sent"))
     plain = {c: (F.col(c), F.col(c)) for c in CATALOGUE[1:-1]} | {"metadata": (same_json(F.col("metadata")), same_json(F.col("metadata")))}
@@ -78,7 +98,7 @@ def p5_summary(spark: SparkSession, d: str) -> DataFrame:
     return p5_found(spark, d).groupBy("compared", "field").agg(F.count(F.lit(1)).alias("n_cases"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_values": p1_values, "p3_found": p3_found, "p3_summary": p3_summary, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_summary": p5_summary}
+QUERIES = {"p1_found": p1_found, "p1_values": p1_values, "p3_found": p3_found, "p3_summary": p3_summary, "p4_found": p4_found, "p4_report": p4_report, "p4_pairs": p4_pairs, "p4_salted": p4_salted, "p5_found": p5_found, "p5_summary": p5_summary}
 
 _KNOWN = """
   SELECT * FROM (
@@ -87,19 +107,15 @@ _KNOWN = """
     FROM asof_reads r JOIN facts f ON r.metric = f.metric AND r.obs_date = f.obs_date AND f.vintage_date < CAST(r.read_at AT TIME ZONE 'UTC' AS DATE)
   ) WHERE rn = 1"""
 
-_DAY = r"""coalesce(
-    CASE WHEN regexp_matches(trim(obs_date), '^\d{4}-\d{2}-\d{2}([Tt ].*)?$') THEN try_cast(substr(trim(obs_date), 1, 10) AS DATE) END,
-    CASE WHEN regexp_matches(trim(obs_date), '^\d{8}([Tt ].*)?$') THEN try_cast(substr(trim(obs_date), 1, 4) || '-' || substr(trim(obs_date), 5, 2) || '-' || substr(trim(obs_date), 7, 2) AS DATE) END)"""
-
 _CHANGES = f"""
-  WITH o AS (SELECT snapshot_no, series_key, {_DAY} AS d, value, row_no FROM obs_snapshots WHERE series_key IS NOT NULL),
-  b AS (SELECT snapshot_no, series_key, d, CASE WHEN value = 0 THEN 0.0 ELSE value END AS value FROM (
-    SELECT *, row_number() OVER (PARTITION BY snapshot_no, series_key, d ORDER BY row_no DESC) AS rn FROM o WHERE d IS NOT NULL) WHERE rn = 1),
-  j AS (SELECT coalesce(n.snapshot_no, p.snapshot_no + 1) AS snapshot_no, coalesce(n.series_key, p.series_key) AS series_key, coalesce(n.d, p.d) AS d,
-    CASE WHEN p.series_key IS NULL THEN 'added' WHEN n.series_key IS NULL THEN 'removed' WHEN n.value IS DISTINCT FROM p.value THEN 'changed' END AS change
-    FROM b n FULL JOIN b p ON n.series_key = p.series_key AND n.d = p.d AND n.snapshot_no = p.snapshot_no + 1)
-  SELECT snapshot_no, series_key, strftime(d, '%Y-%m-%d') AS obs_day, change FROM j
-  WHERE change IS NOT NULL AND snapshot_no BETWEEN 2 AND (SELECT max(snapshot_no) FROM obs_snapshots)"""
+  WITH t AS MATERIALIZED (SELECT obs_date, {_DAY} AS d FROM (SELECT DISTINCT obs_date FROM obs_snapshots)),
+  b AS MATERIALIZED (SELECT snapshot_no, series_key, d, CASE WHEN value = 0 THEN 0.0 ELSE value END AS value FROM (
+    SELECT o.snapshot_no, o.series_key, t.d, o.value, row_number() OVER (PARTITION BY o.snapshot_no, o.series_key, t.d ORDER BY o.row_no DESC) AS rn
+    FROM obs_snapshots o JOIN t ON o.obs_date = t.obs_date WHERE o.series_key IS NOT NULL AND t.d IS NOT NULL) WHERE rn = 1),
+  w AS (SELECT *, lag(snapshot_no) OVER x AS before, lag(value) OVER x AS was, lead(snapshot_no) OVER x AS after FROM b WINDOW x AS (PARTITION BY series_key, d ORDER BY snapshot_no)),
+  e AS (SELECT snapshot_no, series_key, d, CASE WHEN before = snapshot_no - 1 AND value IS DISTINCT FROM was THEN 'changed' WHEN coalesce(before, 0) < snapshot_no - 1 AND snapshot_no > 1 THEN 'added' END AS change FROM w
+    UNION ALL SELECT snapshot_no + 1, series_key, d, 'removed' FROM w WHERE snapshot_no < (SELECT max(snapshot_no) FROM obs_snapshots) AND (after IS NULL OR after > snapshot_no + 1))
+  SELECT snapshot_no, series_key, strftime(d, '%Y-%m-%d') AS obs_day, change FROM e WHERE change IS NOT NULL"""
 
 _ORPHANS = """
   WITH refs AS (
@@ -111,6 +127,14 @@ _ORPHANS = """
     SELECT 1 FROM held h WHERE h.f = r.ref_field AND h.k = r.k AND h.added_on <= r.d AND (h.removed_on IS NULL OR r.d < h.removed_on))"""
 
 
+_BLANK = lambda c: f"CASE WHEN NOT regexp_full_match({c}, '\\s*') THEN {c} END"
+_PAIRS = f"""
+  WITH c AS (SELECT DISTINCT series_id, {_BLANK('source_id')} AS s, {_BLANK('license_id')} AS l FROM (SELECT DISTINCT series_id, source_id, license_id FROM series)), p AS (SELECT DISTINCT source_id AS s, license_id AS l FROM source_list)
+  SELECT 'simple' AS match, series_id AS row_key FROM c WHERE s IS NOT NULL AND l IS NOT NULL AND NOT EXISTS (SELECT 1 FROM p WHERE p.s = c.s AND p.l = c.l)
+  UNION ALL SELECT 'full', series_id FROM c WHERE (s IS NULL) <> (l IS NULL) OR s IS NOT NULL AND l IS NOT NULL AND NOT EXISTS (SELECT 1 FROM p WHERE p.s = c.s AND p.l = c.l)
+  UNION ALL SELECT 'partial', series_id FROM c WHERE (s IS NOT NULL OR l IS NOT NULL) AND NOT EXISTS (SELECT 1 FROM p WHERE (c.s IS NULL OR p.s = c.s) AND (c.l IS NULL OR p.l = c.l))"""
+
+
 def _json_sql(x: str) -> str:
     one = lambda o: f"list_transform(list_sort(json_keys({o})), lambda k: k || '=' || coalesce(CASE WHEN json_type({o}, '$.\"' || k || '\"') = 'OBJECT' THEN 'object' ELSE json_extract_string({o}, '$.\"' || k || '\"') END, 'null'))"
     return f"CASE WHEN {x} IS NULL THEN NULL WHEN json_valid({x}) AND json_type({x}) = 'OBJECT' THEN {one(x)}::VARCHAR || coalesce({one(f'json_extract({x}, ' + chr(39) + '$.titles' + chr(39) + ')')}::VARCHAR, '') ELSE 'text:' || {x} END"
@@ -138,11 +162,13 @@ _COPIES = f"""
 
 ORACLE = {
     "p1_found": f"SELECT read_id, fact_id FROM ({_KNOWN})",
-    "p1_values": f"SELECT read_id, metric, reader, fact_id, value, vintage_date FROM ({_KNOWN})",
+    "p1_values": nan_apart_sql(f"SELECT read_id, metric, reader, fact_id, value, vintage_date FROM ({_KNOWN})"),
     "p3_found": _CHANGES,
     "p3_summary": f"SELECT snapshot_no, change, count(*) AS n_cases FROM ({_CHANGES}) GROUP BY ALL",
     "p4_found": f"SELECT DISTINCT table_name, row_key, ref_field FROM ({_ORPHANS})",
     "p4_report": f"SELECT table_name, ref_field, CAST(date_trunc('month', d) AS DATE) AS month, count(*) AS n_orphans FROM ({_ORPHANS}) GROUP BY ALL",
+    "p4_pairs": _PAIRS,
+    "p4_salted": "SELECT DISTINCT series_id, source_id FROM series_served s WHERE series_id IS NOT NULL AND trim(series_id) <> '' AND NOT EXISTS (SELECT 1 FROM sent t WHERE t.series_id = s.series_id)",
     "p5_found": _COPIES,
     "p5_summary": f"SELECT compared, field, count(*) AS n_cases FROM ({_COPIES}) GROUP BY ALL",
 }

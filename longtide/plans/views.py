@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import spelled_day
 from ..session import table
-from .training import _DAY
+
+# The day named by a spelled obs_date, as SQL.
+_DAY = r"""coalesce(
+    CASE WHEN regexp_matches(trim(obs_date), '^\d{4}-\d{2}-\d{2}([Tt ].*)?$') THEN try_cast(substr(trim(obs_date), 1, 10) AS DATE) END,
+    CASE WHEN regexp_matches(trim(obs_date), '^\d{8}([Tt ].*)?$') THEN try_cast(substr(trim(obs_date), 1, 4) || '-' || substr(trim(obs_date), 5, 2) || '-' || substr(trim(obs_date), 7, 2) AS DATE) END)"""
 
 
 def line_obs(spark: SparkSession, d: str) -> DataFrame:
@@ -51,3 +55,13 @@ def runs(spark: SparkSession, d: str) -> DataFrame:
 
 RUNS = """(SELECT event_id AS id, ts, 's' || CAST(user_id % 13 AS VARCHAR) AS source_id, 'u' || CAST(user_id AS VARCHAR) AS unit_id,
   CASE WHEN event_type = 'error' THEN 'transient_fail' WHEN event_id % 11 = 0 THEN 'window_stopped' WHEN event_id % 7 = 0 THEN 'partial' WHEN event_type = 'view' THEN 'no_change' ELSE 'ok' END AS status, value AS dur_s FROM events)"""
+
+
+def nan_apart(df: DataFrame, column: str = "value") -> DataFrame:
+    """NaN as null and a mark of its own, as engines differ in what NaN equals; every row stays."""
+    nan = F.coalesce(F.isnan(column), F.lit(False))
+    return df.withColumn("is_nan", nan).withColumn(column, F.when(~nan, F.col(column)))
+
+
+def nan_apart_sql(sql: str, column: str = "value") -> str:
+    return f"SELECT * REPLACE (CASE WHEN NOT isnan({column}) THEN {column} END AS {column}), coalesce(isnan({column}), false) AS is_nan FROM ({sql})"

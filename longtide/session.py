@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import re
 import tempfile
 import uuid
 import zipfile
@@ -11,6 +12,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .errors import LongtideError
+
 #: Settings that a session made here starts with; a session handed in is used as it is.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -38,13 +41,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir`` of the session. Only where it is unset (tests on
-    one machine) a temporary folder is made and set."""
+    """The folder that all executors share: ``spark.checkpoint.dir`` of the session. Where it is unset, a temporary folder is made and
+    set if the master is local (tests on one machine); on a cluster that is an error, as executors would write to their own disks."""
     sc = spark.sparkContext
     there = sc._jsc.sc().getCheckpointDir()
     if there.isDefined():
         return there.get()
-    path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="longtide-")
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not re.match(r"local(\[|$)", sc.master):
+        raise LongtideError("set spark.checkpoint.dir to a folder that all executors share")
+    path = path or tempfile.mkdtemp(prefix="longtide-")
     sc.setCheckpointDir(path)
     return sc._jsc.sc().getCheckpointDir().get()
 
@@ -64,25 +70,36 @@ def ship(spark: SparkSession) -> None:
         for f in sorted(root.rglob("*.py")):
             z.write(f, f"{root.name}/{f.relative_to(root)}")
     path = f"{shared_dir(spark)}/{root.name}-{hashlib.sha256(packed.getvalue()).hexdigest()[:12]}.zip"
-    target = sc._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    put_bytes(spark, path, packed.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
+def put_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """Writes a small file to the shared folder; it goes when the JVM ends."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     out = fs.create(target, True)
-    out.write(packed.getvalue())
+    out.write(content)
     out.close()
     fs.deleteOnExit(target)
-    sc.addPyFile(path)
-    _SHIPPED.add(sc.applicationId)
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder; what is written there goes when the JVM ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.deleteOnExit(hadoop_path)
+    return path
 
 
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back. This cuts the lineage, keeps the result
     on storage that outlives any executor, and gives the planner exact sizes. The files go when the JVM ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.periods import sdmx_period, table_period, tsv_period
@@ -175,19 +175,52 @@ def read_zipped_tables(spark: SparkSession, path: str, member: str, period: str,
     return raw.select(*[F.nullif(F.get(cells, F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)], F.lit(period).alias("DATASET_PERIOD"), F.lit(source).alias("SOURCE_ID"))
 
 
-def read_xlsx_rows(spark: SparkSession, path: str) -> DataFrame:
-    """The cells of the first sheet of workbooks (zip of XML), as ``path``, ``row``, ``cells`` (array of text). Each workbook is
-    parsed by one task with the standard library."""
+def read_xlsx_rows(spark: SparkSession, path: str, sheets: list[int] | None = (1,)) -> DataFrame:
+    """The cells of workbooks (zip of XML), as ``path``, ``sheet`` (from 1), ``row``, ``cells`` (array of text); of the listed sheets, or of
+    all (None). Each workbook is parsed by one task with the standard library."""
     from .workbook import sheet_rows
 
     ship(spark)
+    wanted = None if sheets is None else list(sheets)
 
     def run(batches):
         import pandas as pd
 
         for b in batches:
             for p, content in zip(b["path"], b["content"], strict=True):
-                rows = list(sheet_rows(bytes(content)))
-                yield pd.DataFrame({"path": p, "row": [r for r, _ in rows], "cells": [c for _, c in rows]})
+                rows = list(sheet_rows(bytes(content), wanted))
+                yield pd.DataFrame({"path": p, "sheet": [s for s, _, _ in rows], "row": [r for _, r, _ in rows], "cells": [c for _, _, c in rows]})
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, row int, cells array<string>")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, sheet int, row int, cells array<string>")
+
+
+def forward_filled(rows: DataFrame, header_rows: int, group: str = "path", row: str = "row", cells: str = "cells") -> DataFrame:
+    """Heads of several rows as one row per column: an empty head takes the one to its left (merged cells), and the rows are joined by
+    `` / ``. ``group``, ``column`` (from 0), ``head``. Only head rows are looked at."""
+    h = rows.filter(F.col(row) <= header_rows).select(group, row, F.posexplode_outer(cells).alias("column", "text"))
+    w = Window.partitionBy(group, row).orderBy("column").rowsBetween(Window.unboundedPreceding, 0)
+    filled = h.withColumn("text", F.last(F.nullif(F.trim("text"), F.lit("")), ignorenulls=True).over(w)).filter(F.col("text").isNotNull())
+    per = filled.groupBy(group, "column").agg(F.sort_array(F.collect_list(F.struct(row, "text"))).alias("x"))  # at most header_rows each
+    return per.select(group, "column", F.array_join(F.array_distinct(F.transform("x", lambda e: e["text"])), " / ").alias("head"))
+
+
+def read_tar_members(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
+    """The text members of tar archives (plain or compressed), line by line: ``path``, ``member``, ``line`` (from 0), ``value``. Every
+    archive is opened by one task."""
+    import io
+    import tarfile
+
+    ship(spark)
+
+    def run(batches):
+        import pandas as pd
+
+        for b in batches:
+            for p, content in zip(b["path"], b["content"], strict=True):
+                with tarfile.open(fileobj=io.BytesIO(content)) as t:
+                    for m in t:
+                        if m.isfile() and m.name.endswith(suffix):
+                            lines = t.extractfile(m).read().decode("utf-8", "replace").splitlines()
+                            yield pd.DataFrame({"path": p, "member": m.name, "line": range(len(lines)), "value": lines})
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, member string, line int, value string")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..errors import NotFound
+from ..session import ship
 
 
 def read_store(spark: SparkSession, *paths: str, columns: list[str] | None = None) -> DataFrame:
@@ -35,8 +36,34 @@ def with_live_half(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def footer_stats(spark: SparkSession, path: str, date: str = "obs_date") -> DataFrame:
-    """Rows and last date per file, from footers alone where the reader can push the aggregate down."""
-    return spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("n_rows"), F.max(date).alias("last_date"))
+    """``path``, ``n_rows`` and ``last_date`` of every file, from its footer alone, read by the executors; ``last_date`` is null where the
+    column or its statistics are missing. The driver knows the file names, as it does for any scan."""
+    ship(spark)
+
+    def run(batches):
+        import pandas as pd
+        from pyarrow import fs as afs
+        from pyarrow import parquet
+
+        for b in batches:
+            out = []
+            for p in b["path"]:
+                system, inner = afs.FileSystem.from_uri(p)
+                with system.open_input_file(inner) as f:
+                    meta = parquet.read_metadata(f)
+                last = None
+                for g in range(meta.num_row_groups):
+                    group = meta.row_group(g)
+                    for c in range(group.num_columns):
+                        st = group.column(c).statistics if group.column(c).path_in_schema == date else None
+                        if st is not None and st.has_min_max:
+                            last = st.max if last is None else max(last, st.max)
+                out.append((p, meta.num_rows, last))
+            yield pd.DataFrame(out, columns=["path", "n_rows", "last_date"])
+
+    files = spark.read.parquet(path).inputFiles()
+    listed = spark.createDataFrame([(f,) for f in files], "path string").repartition(max(1, min(len(files), spark.sparkContext.defaultParallelism * 4)))
+    return listed.mapInPandas(run, "path string, n_rows bigint, last_date date")
 
 
 def write_partitioned(df: DataFrame, path: str, by: str) -> None:
