@@ -144,44 +144,45 @@ class Lengths:
             self.alphabet |= self.known[lang]
         self._priced = lru_cache(200_000)(self._short)
 
-    def letter_bits(self, lang: str, word: str) -> float:
-        pair, after, letter, unseen = self.pairs[lang]
-        bits, x = 0.0, f"^{word.lower()}$"
-        for i in range(len(x) - 1):
-            b = pair.get(x[i : i + 2])
-            bits += after.get(x[i], _LOG3) + letter.get(x[i + 1], unseen) if b is None else b
-        if not word.islower():
-            bits += 6 * sum(a.islower() and b.isupper() for a, b in zip(word, word[1:], strict=False))
-        return bits
-
-    def word(self, word: str) -> float:
-        """The bits of a word of any length; a long run without blanks is the sum of its parts."""
+    def word(self, word: str, cap: float = math.inf) -> float:
+        """The bits of a word of any length, or ``cap`` if they are not less; a long run without blanks is the sum of its parts."""
         if len(word) <= LONG_WORD:
-            return self._priced(word)
+            return self._priced(word) if cap == math.inf else self._short(word, cap)
         return sum(self._priced(word[i : i + LONG_WORD]) for i in range(0, len(word), LONG_WORD))
 
-    def _short(self, word: str) -> float:
+    def _short(self, word: str, cap: float = math.inf) -> float:
         """The least of the languages that have all its letters; any other language pays for each letter it lacks."""
         if word == "�":
             return LONE_LOST_BITS
         if len(pieces := [x for x in re.split("[\u00a0\u2009\u202f]", word) if x]) > 1 or (pieces and pieces[0] != word):
             return sum(map(self.word, pieces)) + SPACE_BITS * (len(word) - sum(map(len, pieces)))
-        best = 3.0 + math.log2(self.total / n) if (n := self.count.get(word)) else math.inf
-        lost = word.count("�")
+        known_bits = 3.0 + math.log2(self.total / n) if (n := self.count.get(word)) else math.inf
+        best, found = min(known_bits, cap), known_bits < math.inf
+        extra = LOST_BITS * word.count("�")
         word = word.replace("�", "")
         raw, foreign = word.encode(), [c for c in word if not c.isascii()]
-        extra = LOST_BITS * lost + (LONE_BITS if len(word) == 1 and word not in SIGNS and best == math.inf else 0.0)
+        if len(word) == 1 and word not in SIGNS and not found:
+            extra += LONE_BITS
         if len(foreign) < len(word) and any(c.isascii() and c.isalpha() for c in word):
             extra += MIXED_BITS * sum(c.isalpha() and c not in self.alphabet and not ("\u00c0" <= c < "\u0250" or "\u1e00" <= c < "\u1f00") for c in foreign)
-        for lang in self.langs:
-            known = self.known[lang]
-            missing = sum(c not in known for c in foreign)
-            if missing and missing < len(foreign) and best < math.inf:
+        if not word.islower():
+            extra += LETTER_WEIGHT * 6 * sum(a.islower() and b.isupper() for a, b in zip(word, word[1:], strict=False))
+        x = f"^{word.lower()}$"
+        two = [x[i : i + 2] for i in range(len(x) - 1)]
+        for missing, lang in sorted((sum(c not in self.known[lang] for c in foreign), lang) for lang in self.langs):
+            if missing and missing < len(foreign) and found:
                 continue
-            bits = LETTER_WEIGHT * self.letter_bits(lang, word) + MISSING_BITS * missing + extra
-            if bits < best:
-                best = min(best, bits + BYTE_BITS * max(0, len(self.zstd[lang].compress(raw)) - self.empty[lang]))
-        return best if best < math.inf else 8.0 * len(raw)  # nothing was learnt
+            found, fixed = True, MISSING_BITS * missing + extra
+            pair, after, letter, unseen = self.pairs[lang]
+            bits, limit = 0.0, (best - fixed) / LETTER_WEIGHT
+            for g in two:
+                b = pair.get(g)
+                bits += after.get(g[0], _LOG3) + letter.get(g[1], unseen) if b is None else b
+                if bits >= limit:
+                    break
+            else:
+                best = min(best, fixed + LETTER_WEIGHT * bits + BYTE_BITS * max(0, len(self.zstd[lang].compress(raw)) - self.empty[lang]))
+        return best if found else min(cap, 8.0 * len(raw))  # nothing was learnt
 
 
 _LOG3 = math.log2(3)
@@ -314,9 +315,11 @@ def gains(word: str, lengths: Lengths) -> dict[tuple[Step, ...], tuple[str, floa
     character saves nothing by itself, but follows the words around it."""
     now, out = lengths.word(word), {}
     if len(word) == 1:
-        out = {(step,): (new, 0.0) for step, new in steps(word, lengths.alphabet, follow=True).items() if "�" not in new and lengths.word(new) < now}
-    for chain, new in lengths.chains(word).items():
-        if (g := now - lengths.word(new)) > 0:
+        out = {(step,): (new, 0.0) for step, new in steps(word, lengths.alphabet, follow=True).items() if "�" not in new and lengths.word(new, now) < now}
+    made = lengths.chains(word)
+    price = {new: lengths.word(new, now) for new in set(made.values())}
+    for chain, new in made.items():
+        if (g := now - price[new]) > 0:
             out[chain] = (new, g)
     return out
 
