@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .errors import LongtideError, NotFound, UnsupportedFilter
 from .operators import catalogue as C
 from .operators import delivery, series
+from .session import staged
 from .sources.stores import read_store
 
 
+def _any(conds: list) -> Column:
+    """The conditions or-ed in pairs, so that the expression is as deep as the logarithm of their number."""
+    while len(conds) > 1:
+        conds = [conds[i] | conds[i + 1] if i + 1 < len(conds) else conds[i] for i in range(0, len(conds), 2)]
+    return conds[0]
+
+
 class LicenceRefusal(LongtideError):
     """The licence of a series does not allow it to be handed out, or is not known."""
 
@@ -34,7 +42,7 @@ class Library:
     def __init__(self, spark: SparkSession, root: str, catalogue: DataFrame, sources: DataFrame, licenses: DataFrame, registry: series.Registry | None = None, withheld: DataFrame | None = None):
         self.spark, self.root = spark, root
         self.catalogue, self.sources, self.licenses, self.withheld = catalogue, sources, licenses, withheld
-        self.registry = registry or series.Registry(lambda s, n: series.Resolution(f"{root}/{s}.parquet", "series_key", series.grain("series_key", n)))
+        self.registry = registry or series.Registry(lambda s, n: series.Resolution(f"{root}/{s}.parquet", "series_key", series.grain("series_key", n), native=n))
 
     # --- finding ---
 
@@ -70,24 +78,41 @@ class Library:
 
     def fetch(self, provider: str, dataset: str | None = None, *, wide: bool = False, **filters) -> Fetched:
         """The tidy rows of all series of a provider (a dataset of it, with these values of frequency, geography, unit,
-        category). Closed ids, and those whose licence is unknown, are left out and named. One scan per store, not per id."""
+        category). Closed ids, and those whose licence is unknown, are left out and named. A provider without a rule of its own is read
+        by one join of its store with the open ids, however many they are; one with a rule, id by id. One scan per store."""
         ids = series.mask(self.catalogue, provider, dataset, **filters)
-        gated = ids.join(self.gates().groupBy("series_id").agg(F.max("gate").alias("gate")), "series_id", "left")
-        rows = gated.collect()  # ids of one dataset, named by the caller
-        open_ids, closed = [r[0] for r in rows if r[1] == "open"], sorted(r[0] for r in rows if r[1] != "open")
-        frame, unresolved = self.fetch_ids(open_ids)
+        gated = staged(ids.join(self.gates().groupBy("series_id").agg(F.max("gate").alias("gate")), "series_id", "left"), "gated")
+        closed = gated.filter(~F.coalesce(F.col("gate") == "open", F.lit(False))).select("series_id")
+        open_ids = gated.filter("gate = 'open'").select("series_id")
+        one = open_ids.first()
+        if one is None or provider in self.registry.rules or self.registry.resolve(one[0]).native is None:
+            frame, unresolved = self.fetch_ids([r[0] for r in open_ids.collect()])  # a rule is Python, one call per id
+        else:
+            frame, unresolved = self._join_ids(provider, open_ids, self.registry.resolve(one[0]))
         if wide:
-            frame = series.wide(frame, sorted({r[0] for r in frame.select("series_id").distinct().collect()}))
-        return Fetched(frame, unresolved, closed)
+            frame = series.wide(frame, sorted(r[0] for r in frame.select("series_id").distinct().collect()))  # the columns asked for
+        return Fetched(frame, unresolved, sorted(r[0] for r in closed.toLocalIterator()))
+
+    def _join_ids(self, provider: str, ids: DataFrame, r: series.Resolution) -> tuple[DataFrame, list[str]]:
+        try:
+            store = read_store(self.spark, r.path)
+        except Exception as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            empty = self.spark.createDataFrame([], "series_id string, source string, obs_date date, value double")
+            return empty, sorted(x[0] for x in ids.toLocalIterator())
+        natives = ids.select(F.substring("series_id", len(provider) + 2, 10_000).alias("native"))
+        return series.tidy(series.by_grain(store, natives, r.key, r.separator), provider, r.key, r.stamp, r.dedup), []
 
     def fetch_ids(self, ids: list[str]) -> tuple[DataFrame, list[str]]:
-        """Tidy rows of these ids, and the ids of which no store holds any."""
-        by_path: dict[tuple[str, str, str | None], list[tuple[str, series.Resolution]]] = {}
+        """Tidy rows of these ids, and the ids of which no store holds any. Ids that are known by their native key are found by one join per
+        store; rules of other kinds are or-ed as a balanced tree."""
+        by_path: dict[tuple[str, str, str | None, str], list[tuple[str, series.Resolution]]] = {}
         for i in ids:
             r = self.registry.resolve(i)
-            by_path.setdefault((r.path, r.key, r.stamp), []).append((i, r))
+            by_path.setdefault((r.path, r.key, r.stamp, i.partition(":")[0]), []).append((i, r))
         frame, unresolved = None, []
-        for (path, key, stamp), group in by_path.items():
+        for (path, key, stamp, source), group in by_path.items():
             try:
                 store = read_store(self.spark, path)
             except Exception as e:
@@ -95,10 +120,11 @@ class Library:
                     raise
                 unresolved += [i for i, _ in group]
                 continue
-            cond = F.lit(False)
-            for _, r in group:
-                cond = cond | (r.predicate if r.predicate is not None else F.lit(True))
-            part = series.tidy(store.filter(cond), group[0][0].split(":")[0], key, stamp, group[0][1].dedup)
+            if len(group) > 1 and all(r.native is not None and r.separator == group[0][1].separator for _, r in group):
+                found = series.by_grain(store, self.spark.createDataFrame([(r.native,) for _, r in group], "native string"), key, group[0][1].separator)
+            else:
+                found = store.filter(_any([r.predicate if r.predicate is not None else F.lit(True) for _, r in group]))
+            part = series.tidy(found, source, key, stamp, group[0][1].dedup)
             frame = part if frame is None else frame.unionByName(part)
         frame = frame if frame is not None else self.spark.createDataFrame([], "series_id string, source string, obs_date date, value double")
         return frame, sorted(unresolved)

@@ -13,6 +13,15 @@ def conflicting_groups(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return df.select(*keys, value).distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n_values")).filter("n_values > 1")
 
 
+def conflicting_rows(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The rows of keys with more than one different value, whole. Null keys are equal. Only the keys in conflict are joined back."""
+    bad = conflicting_groups(df, keys, value).select(*[F.col(k).alias(f"__{k}") for k in keys])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return df.join(bad, cond, "left_semi")
+
+
 def spanning_keys(df: DataFrame, key: str, group: str) -> DataFrame:
     """Keys that stand in more than one group: ``n_groups``."""
     return df.filter(F.col(key).isNotNull()).select(key, group).distinct().groupBy(key).agg(F.count(F.lit(1)).alias("n_groups")).filter("n_groups > 1")

@@ -65,16 +65,52 @@ def bare_codes(catalogue: DataFrame, sources: DataFrame, code: str) -> DataFrame
     return catalogue.join(ids, "series_id", "left_semi")
 
 
+def match_index(index: DataFrame, catalogue: DataFrame, query: str) -> DataFrame:
+    """Series that hold every word of the query, by a written ``inverted_index``: only the query's words are read from it."""
+    ws = sorted(set(terms(query)))
+    if not ws:
+        return catalogue.limit(0)
+    ids = index.filter(F.col("term").isin(ws)).groupBy("id").agg(F.count_distinct("term").alias("__n")).filter(F.col("__n") == len(ws))
+    return catalogue.join(ids.select(F.col("id").alias("series_id")), "series_id", "left_semi")
+
+
+def match_phrases(catalogue: DataFrame, query: str, cols: tuple[str, ...] = ("title", "geography")) -> DataFrame:
+    """Series in which the words of each quoted part of the query stand side by side, and its other words anywhere; none for a query
+    without quotes."""
+    import regex
+
+    quoted = [terms(x) for x in regex.findall(r'"([^"]+)"', query)]
+    if not any(quoted):
+        return catalogue.limit(0)
+    rest = terms(regex.sub(r'"[^"]+"', " ", query))
+    text = F.concat(F.lit(" "), F.array_join(F.filter(F.split(F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in cols])), WORDS), lambda w: w != ""), " "), F.lit(" "))
+    ok = F.lit(True)
+    for ws in [*[q for q in quoted if q], *[[w] for w in rest]]:
+        ok = ok & F.contains(text, F.lit(f" {' '.join(ws)} "))
+    return catalogue.filter(ok)
+
+
+def merge_shards(shards: list[DataFrame], order: str = "series_id", limit: int = LIMIT, offset: int = 0) -> DataFrame:
+    """One page over the hits of several catalogues, those of an earlier one first, each in order. Every shard is cut to the page's
+    end before they meet. The limit is the feature."""
+    limit, offset = min(max(limit, 1), MAX_LIMIT), min(max(offset, 0), MAX_OFFSET)
+    parts = [s.withColumn("__shard", F.lit(i)).orderBy(order).limit(offset + limit) for i, s in enumerate(shards)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.orderBy("__shard", order).offset(offset).limit(limit).drop("__shard")
+
+
 def search(catalogue: DataFrame, query: str, source: str | None = None, limit: int = LIMIT, offset: int = 0) -> tuple[DataFrame, str]:
     """The first stage of the ladder with any match, and its name. Within a source: all words, else LIKE. Over all: the name
-    of a source, an id prefix, all words, a bare code, the last word as a prefix; never LIKE."""
+    of a source, an id prefix, quoted parts as phrases, all words, a bare code, the last word as a prefix; never LIKE."""
     if source is not None:
         scoped = catalogue.filter(F.col("source_id") == source)
         stages = [("terms", match_all(scoped, query)), ("like", match_like(catalogue, query, source))]
     else:
         named = catalogue.filter(F.lower("source_id") == query.lower())
         ids = catalogue.filter(F.col("series_id").startswith(query)) if ":" in query else catalogue.limit(0)
-        stages = [("source", named), ("id", ids), ("terms", match_all(catalogue, query)), ("code", bare_codes(catalogue, catalogue.select("source_id").distinct(), query)), ("prefix", match_prefix(catalogue, query))]
+        stages = [("source", named), ("id", ids), ("phrases", match_phrases(catalogue, query)), ("terms", match_all(catalogue, query)), ("code", bare_codes(catalogue, catalogue.select("source_id").distinct(), query)), ("prefix", match_prefix(catalogue, query))]
     for name, df in stages:
         if not df.isEmpty():
             return page(df, "series_id", limit, offset), name
@@ -144,13 +180,30 @@ def manifest(reasons: DataFrame) -> DataFrame:
     return reasons.join(n, F.col("source_id").eqNullSafe(F.col("__s")) & (F.col("reason") == F.col("__r"))).select("source_id", "reason", "series_id", "n_series")
 
 
-def grain_audit(store: DataFrame, catalogue: DataFrame, by: str = "source_id") -> DataFrame:
-    """Distinct keys of a store against those of the catalogue per source: ``n_store``, ``n_catalogue``, ``verdict``
-    (MATCH, MISSING, ORPHAN or DRIFT)."""
-    d = lambda df, k, n: df.filter(F.col(k).isNotNull()).select(by, k).distinct().groupBy(by).agg(F.count(F.lit(1)).alias(n))
-    j = d(store, "series_key", "n_store").join(d(catalogue, "series_id", "n_catalogue"), by, "full")
-    a, b = F.coalesce("n_store", F.lit(0)), F.coalesce("n_catalogue", F.lit(0))
-    return j.select(by, a.alias("n_store"), b.alias("n_catalogue"), F.when(a == b, "MATCH").when(a == 0, "MISSING").when(b == 0, "ORPHAN").otherwise("DRIFT").alias("verdict"))
+def grain_audit(store: DataFrame, catalogue: DataFrame, by: str = "source_id", shard: str | None = None, declared: DataFrame | None = None, approximate: bool = False) -> DataFrame:
+    """Distinct keys of a store against those of the catalogue per source: ``n_store``, ``n_catalogue``, ``verdict`` (MATCH; MISSING: nothing
+    stored; ORPHAN: nothing catalogued; DRIFT). ``shard``: a column with which a source's keys are counted again, qualified by it, where
+    the bare ones are fewer than the catalogue's; the count that is nearer stands, and ``qualified`` says so. ``declared`` (``by``,
+    ``grain``): sources that are catalogued at another grain on purpose (GRAIN instead of DRIFT). ``approximate``: store counts are estimates,
+    which may not assert that keys are missing (DRIFT becomes UNSURE where the store has fewer)."""
+
+    def count(df: DataFrame, key: str, name: str) -> DataFrame:
+        keys = df.filter(F.col(key).isNotNull())
+        if approximate and name != "n_catalogue":
+            return keys.groupBy(F.col(by).alias(f"__{name}")).agg(F.approx_count_distinct(key, 0.02).alias(name))
+        return keys.select(by, key).distinct().groupBy(F.col(by).alias(f"__{name}")).agg(F.count(F.lit(1)).alias(name))
+
+    j = count(store, "series_key", "n_store").join(count(catalogue, "series_id", "n_catalogue"), F.col("__n_store").eqNullSafe(F.col("__n_catalogue")), "full")
+    j = j.select(F.coalesce("__n_store", "__n_catalogue").alias(by), F.coalesce("n_store", F.lit(0)).alias("a"), F.coalesce("n_catalogue", F.lit(0)).alias("b"))
+    if shard is not None:
+        q = count(store.filter(F.col("series_key").isNotNull()).withColumn("series_key", F.concat_ws(":", shard, "series_key")), "series_key", "n_qualified")
+        j = j.join(q, F.col(by).eqNullSafe(F.col("__n_qualified")), "left").drop("__n_qualified")
+        nearer = (F.col("a") < F.col("b")) & (F.abs(F.col("n_qualified") - F.col("b")) < F.abs(F.col("a") - F.col("b")))
+        j = j.withColumn("qualified", F.coalesce(nearer, F.lit(False))).withColumn("a", F.when(F.col("qualified"), F.col("n_qualified")).otherwise(F.col("a"))).drop("n_qualified")
+    j = j.join(declared.select(F.col(by).alias("__by"), "grain"), F.col(by).eqNullSafe(F.col("__by")), "left").drop("__by") if declared is not None else j.withColumn("grain", F.lit(None).cast("string"))
+    a, b = F.col("a"), F.col("b")
+    verdict = F.when(a == b, "MATCH").when(a == 0, "MISSING").when(b == 0, "ORPHAN").when(F.col("grain").isNotNull(), "GRAIN").when(F.lit(approximate) & (a < b), "UNSURE").otherwise("DRIFT")
+    return j.select(by, a.alias("n_store"), b.alias("n_catalogue"), *(["qualified"] if shard is not None else []), verdict.alias("verdict"))
 
 
 def catalogue_ids(changed: DataFrame, catalogue: DataFrame, source: str, separators: tuple[str, ...] = (":", "."), key: str = "series_key") -> DataFrame:
@@ -169,6 +222,17 @@ def catalogue_ids(changed: DataFrame, catalogue: DataFrame, source: str, separat
     return hit.select(key, "series_id", how.alias("how"))
 
 
+def catalogue_expansions(changed: DataFrame, catalogue: DataFrame, source: str | None = None, separators: tuple[str, ...] = (":", "."), key: str = "series_key") -> DataFrame:
+    """The other direction: all catalogue ids that a changed key (a flow or table) is a part of at its beginning: ``series_key``, ``series_id``; one to
+    many. The key itself is among them if it is catalogued. An equi-join on the ids' own prefixes, of which each has as many as parts."""
+    pattern = "[" + "".join("\\" + x for x in separators) + "]"
+    ids = catalogue.filter(F.col("series_id").isNotNull()) if source is None else catalogue.filter(F.col("source_id") == source)
+    words = F.split(F.col("series_id"), pattern)
+    ends = F.transform(F.sequence(F.lit(1), F.size(words)), lambda n: F.char_length(F.array_join(F.slice(words, 1, n), "-")))
+    own = ids.select("series_id").distinct().withColumn("__p", F.explode(F.transform(ends, lambda e: F.substring(F.col("series_id"), F.lit(1), e))))
+    return changed.filter(F.col(key).isNotNull()).select(key).distinct().join(own, F.col(key) == F.col("__p")).select(key, "series_id")
+
+
 def label_join(measures: DataFrame, labels: DataFrame, code: str, label: str, strict: bool = True) -> DataFrame:
     """Measures with the label of their code (the greatest of several); codes without one are refused if ``strict``."""
     one = labels.groupBy(code).agg(F.max(label).alias(label))

@@ -64,6 +64,35 @@ def group_differences(left: DataFrame, right: DataFrame, key: list[str], value:
     return per.filter((F.col("left_over") > 0) | (F.col("right_over") > 0)).select(*key, field.alias("field"))
 
 
+_INTEGERS = {"tinyint", "smallint", "int", "bigint"}
+
+
+def comparable(column: str, left: str, right: str) -> tuple[Column, Column]:
+    """A column of two copies, of types ``left`` and ``right``, as text that is equal where the values are: two integers exactly, a number
+    beside a floating one as double (zeros equal), a date beside a timestamp as timestamp, bytes as hex, all else as it prints. A text that
+    is no number or time beside one that is counts as null."""
+    pair = {left, right}
+    number = lambda t: t in _INTEGERS or t in ("float", "double") or t.startswith("decimal")
+    c = F.col(column)
+    if pair <= _INTEGERS:
+        as_text = c.cast("bigint").cast("string")
+    elif pair & {"float", "double"} or any(map(number, pair)) and left != right:
+        as_text = (c.try_cast("double") + 0.0).cast("string")
+    elif pair & {"date", "timestamp", "timestamp_ntz"}:
+        as_text = c.try_cast("timestamp_ntz").cast("string")
+    elif "binary" in pair:
+        as_text = F.hex(c)
+    else:
+        as_text = c.cast("string")
+    return as_text, as_text
+
+
+def comparable_fields(left: DataFrame, right: DataFrame, key: str) -> dict[str, tuple[Column, Column]]:
+    """``fields`` for ``keyed_differences`` of two copies whose types have drifted apart; columns that one side lacks are left out."""
+    a, b = dict(left.dtypes), dict(right.dtypes)
+    return {c: comparable(c, a[c], b[c]) for c in left.columns if c in b and c != key}
+
+
 def same_json(text: Column) -> Column:
     """A text that is equal for texts that parse to the same JSON value: keys sorted, escapes and blanks undone. A text
     that does not parse stands for itself, marked so that it equals no parsed one."""

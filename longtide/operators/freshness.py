@@ -161,6 +161,28 @@ def rotate_after(items: DataFrame, name: str, position: str, bookmark: str | Non
     return numbered(turned, "place", "__turn", position).drop("__turn")
 
 
+def daily_ring(items: DataFrame, name: str, day: int, ring: DataFrame | None = None) -> DataFrame:
+    """Items in the order of a ring whose pointer moves on by one each day, so that every item leads once per round: ``place``, from 1. ``ring``
+    (column ``name``): all that may take part, the items among them; it keeps the order stable when items come and go."""
+    members = numbered((items.select(name) if ring is None else items.select(name).unionByName(ring.select(name))).distinct(), "__i", name)
+    n = members.agg(F.count(F.lit(1)).alias("__n"))  # one row
+    turn = F.pmod(F.col("__i") - 1 - F.pmod(F.lit(day), F.col("__n")), F.col("__n"))
+    turned = items.join(members, name).crossJoin(F.broadcast(n)).withColumn("__turn", turn).drop("__i", "__n")
+    return numbered(turned, "place", "__turn", name).drop("__turn")
+
+
+def claim_leases(leases: DataFrame, asked: DataFrame, now: Column, seconds: int = 3600) -> DataFrame:
+    """The lease table after claims (``key``, ``owner``): a free, expired or own lease goes to the claimant until ``seconds`` from now, any other
+    stays; of several claimants of a key the first by name wins. ``key``, ``owner``, ``expires``, ``claimed``."""
+    one = asked.filter(F.col("key").isNotNull() & F.col("owner").isNotNull()).groupBy("key").agg(F.collect_set("owner").alias("who"))
+    j = leases.select("key", F.col("owner").alias("held"), "expires").join(one, "key", "full")
+    own = F.array_contains("who", F.col("held"))
+    wins = F.col("who").isNotNull() & (F.col("held").isNull() | (F.col("expires") < now) | own)
+    owner = F.when(wins & own & (F.col("expires") >= now), F.col("held")).when(wins, F.array_min("who")).otherwise(F.col("held"))
+    until = F.when(wins, (F.unix_seconds(now) + seconds).cast("timestamp")).otherwise(F.col("expires"))
+    return j.select("key", owner.alias("owner"), until.alias("expires"), F.coalesce(wins, F.lit(False)).alias("claimed"))
+
+
 def retry_order(queue: DataFrame) -> DataFrame:
     """A queue of retries, least tried first, then oldest: adds ``place``."""
     return numbered(queue, "place", "attempts", "enqueued", "id")

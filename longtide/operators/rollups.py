@@ -60,17 +60,23 @@ def distinct_census(df: DataFrame, by: str, key: str, ceiling: int | None = None
     return sizes.join(small, F.col(by).eqNullSafe(F.col("__by")), "left").select(by, F.coalesce("n_exact", "n_hll").alias("n_keys"), F.when(F.col("n_exact").isNull(), "hll").otherwise("exact").alias("method"), "n_rows")
 
 
+# How a source stamps its periods: the days that nearly all (more than SURE) of its dates fall on, in how many months at
+# most, and its name, in the order in which they are tried; days of the month from which dates are daily.
+SURE, DAILY_DAYS = 0.95, 20
+STAMPS = (
+    ("first of year", 12, "annual START"), ("last of year", 12, "annual END"), ("first of month", 4, "quarterly START"), ("last of month", 4, "quarterly END"), ("first of month", 12, "monthly START"), ("last of month", 12, "monthly END"),
+)
+
+
 def convention(df: DataFrame, by: str, date: str = "obs_date") -> DataFrame:
     """How each source stamps its periods, from its histogram of month and day: ``convention``, ``n_obs``."""
-    h = df.filter(F.col(date).isNotNull()).groupBy(by, F.month(date).alias("m"), F.dayofmonth(date).alias("d")).agg(F.count(F.lit(1)).alias("c"))
-    last = F.dayofmonth(F.last_day(F.make_date(F.lit(2000), F.col("m"), F.lit(1))))
-    s = lambda cond: F.sum(F.when(cond, F.col("c")).otherwise(0))
-    a = h.groupBy(by).agg(F.sum("c").alias("n"), F.countDistinct("m").alias("months"), F.countDistinct("d").alias("days"), s(F.col("d") == 1).alias("f"), s(F.col("d") == last).alias("l"),
-                          s((F.col("m") == 1) & (F.col("d") == 1)).alias("jan1"), s((F.col("m") == 12) & (F.col("d") == 31)).alias("dec31"))
-    most = lambda c: F.col(c) / F.col("n") > 0.95
-    name = (F.when(most("jan1"), "annual START").when(most("dec31"), "annual END").when((F.col("months") <= 4) & most("f"), "quarterly START").when((F.col("months") <= 4) & most("l"), "quarterly END")
-            .when(most("f"), "monthly START").when(most("l"), "monthly END").when(F.col("days") > 20, "daily").otherwise("MIXED"))
-    return a.select(by, name.alias("convention"), F.col("n").alias("n_obs"))
+    day = F.date_format(date, "MM-dd")
+    hist = df.filter(F.col(date).isNotNull()).groupBy(by, day.alias("md")).agg(F.count(F.lit(1)).alias("c"))
+    month_end = F.date_format(F.last_day(F.concat(F.lit("2000-"), F.substring("md", 1, 2), F.lit("-01")).cast("date")), "MM-dd")
+    falls = {"first of year": F.col("md") == "01-01", "last of year": F.col("md") == "12-31", "first of month": F.col("md").endswith("-01"), "last of month": F.col("md") == month_end}
+    seen = hist.groupBy(by).agg(F.sum("c").alias("n_obs"), F.countDistinct(F.substring("md", 1, 2)).alias("in_months"), F.countDistinct(F.substring("md", 4, 2)).alias("on_days"), *[F.sum(F.when(on, F.col("c")).otherwise(0)).alias(what) for what, on in falls.items()])
+    named = F.coalesce(*[F.when((F.col("in_months") <= months) & (F.col(what) / F.col("n_obs") > SURE), name) for what, months, name in STAMPS], F.when(F.col("on_days") > DAILY_DAYS, "daily"), F.lit("MIXED"))
+    return seen.select(by, named.alias("convention"), "n_obs")
 
 
 def median_gaps(df: DataFrame, key: str = "series_key", date: str = "obs_date") -> DataFrame:
@@ -87,6 +93,13 @@ def partition_profile(df: DataFrame, key: str = "series_key") -> DataFrame:
     return df.filter(F.col(key).contains("=")).select(key).distinct().groupBy(names.alias("dimensions")).agg(F.count(F.lit(1)).alias("n_series"))
 
 
+def vintage_profile(df: DataFrame, key: str = "series_key", dim: str = "GEO") -> DataFrame:
+    """Series by the vintage of the geography that their key names (GEO=2024-DEP-...): ``vintage`` (null: none named), ``n_series``."""
+    code = F.regexp_extract(F.col(key), f"(?:^|:){dim}=([^:]*)", 1)
+    year = F.nullif(F.regexp_extract(code, r"^((?:19|20)\d{2})-", 1), F.lit(""))
+    return df.filter(F.col(key).isNotNull()).select(key).distinct().groupBy(year.alias("vintage")).agg(F.count(F.lit(1)).alias("n_series"))
+
+
 def split_choice(df: DataFrame, dims: list[str], max_rows: int, least: int = 2, most: int = 2000) -> DataFrame:
     """How each dimension would split a flow: ``dim``, ``n_parts``, ``largest``, ``fits`` and ``chosen``, the coarsest that
     fits. One pass over the table for all dimensions."""
@@ -97,6 +110,44 @@ def split_choice(df: DataFrame, dims: list[str], max_rows: int, least: int = 2,
     return per.crossJoin(F.broadcast(best)).select("dim", "n_parts", "largest", "fits", F.coalesce(F.col("b.dim") == F.col("dim"), F.lit(False)).alias("chosen"))
 
 
+# Lengths to which codes of the widest dimension may be truncated, and the most parts of a split by one and by two.
+PREFIXES, ONE_PARTS, PAIR_PARTS = (3, 4, 5, 6), 2_000, 20_000
+
+
+def split_plan(df: DataFrame, dims: list[str], max_rows: int) -> DataFrame:
+    """How to split a flow so that no part has more than ``max_rows`` rows: ``dims`` (one, or two joined by +), ``prefix`` (0: whole codes),
+    ``n_parts``, ``largest``. One dimension, coarsest first; else prefixes of the widest, shortest first; else pairs, coarsest first (no code of
+    which holds a ~). No row if nothing fits: the flow is refused. Every candidate is counted by one grouping with map-side combine."""
+    t = df.select(*[F.coalesce(F.col(d).cast("string"), F.lit("")).alias(d) for d in dims])
+
+    def counted(parts: list[tuple[str, int, Column]]) -> DataFrame:
+        x = F.explode(F.array(*[F.struct(F.lit(n).alias("dims"), F.lit(p).alias("prefix"), c.alias("part")) for n, p, c in parts]))
+        per = t.select(x.alias("x")).select("x.*").groupBy("dims", "prefix", "part").agg(F.count(F.lit(1)).alias("c"))
+        return per.groupBy("dims", "prefix").agg(F.count(F.lit(1)).alias("n_parts"), F.max("c").alias("largest"))
+
+    def first(found: DataFrame, most: int, *order: str) -> DataFrame:
+        return found.filter(F.col("n_parts").between(2, most) & (F.col("largest") <= max_rows)).orderBy(*order).limit(1)
+
+    ones = counted([(d, 0, F.col(d)) for d in dims])
+    card = {r["dims"]: r["n_parts"] for r in ones.collect()}  # one per dimension
+    if not card:
+        return ones.limit(0)
+    if not (best := first(ones, ONE_PARTS, "n_parts", "dims")).isEmpty():
+        return best
+    widest = max(sorted(card), key=card.get)
+    if not (best := first(counted([(widest, n, F.substring(widest, 1, n)) for n in PREFIXES]), ONE_PARTS, "prefix")).isEmpty():
+        return best
+    usable = sorted((n, d) for d, n in card.items() if n >= 2)
+    pairs = sorted((m * n, a, b) for i, (m, a) in enumerate(usable) for n, b in usable[i + 1 :] if m * n <= PAIR_PARTS)
+    if not pairs:
+        return ones.limit(0)
+    tilde = t.agg(*[F.coalesce(F.bool_or(F.col(d).contains("~")), F.lit(False)).alias(d) for d in dims]).first()
+    rank = {f"{a}+{b}": n for n, a, b in pairs if not tilde[a] and not tilde[b]}
+    both = counted([(f"{a}+{b}", 0, F.concat(F.col(a), F.lit("~"), F.col(b))) for _, a, b in pairs if f"{a}+{b}" in rank]) if rank else ones.limit(0)
+    product = F.create_map(*[F.lit(x) for kv in rank.items() for x in kv])[F.col("dims")] if rank else F.lit(0)
+    return first(both.withColumn("product", product), PAIR_PARTS, "product", "dims").drop("product")
+
+
 def fingerprints(df: DataFrame, by: str, cols: list[str], portable: bool = False) -> DataFrame:
     """Order-free fingerprint of each group's rows; repeated rows and nulls count. ``portable``: one that other engines can
     compute too."""

@@ -31,7 +31,8 @@ def id_range(key: str, prefix: str) -> Column:
 
 @dataclass(frozen=True)
 class Resolution:
-    """Where a series is found, and how its rows become tidy."""
+    """Where a series is found, and how its rows become tidy. ``native``: the rows are those whose key is this one or goes on from it after
+    ``separator``, so that many series can be found by one join; else ``predicate`` tells them."""
 
     path: str
     key: str
@@ -39,6 +40,8 @@ class Resolution:
     stamp: str | None = None
     row_id: list[str] = field(default_factory=list)
     dedup: list[str] | None = None
+    native: str | None = None
+    separator: str = ":"
 
 
 class Registry:
@@ -65,6 +68,15 @@ class Registry:
         return sorted(self.rules)
 
 
+def by_grain(store: DataFrame, natives: DataFrame, key: str, separator: str = ":") -> DataFrame:
+    """The rows of all series in ``natives`` (column ``native``), as ``grain`` finds them for one: a semi join on the key's own prefixes, which are
+    made once per different key."""
+    parts = F.split(F.col(key), "[" + separator + "]")
+    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), separator))
+    keys = store.select(key).distinct().withColumn("native", F.explode(prefixes)).join(natives.select("native").distinct(), "native", "left_semi").select(key).distinct()
+    return store.join(keys, key, "left_semi")
+
+
 def longest_prefix(ids: DataFrame, names: DataFrame, id_col: str, name_col: str, separator: str = ".") -> DataFrame:
     """For each id, the longest name that is the id or a prefix of it up to a separator (null if none). An equi-join on the
     id's own prefixes, of which there are as many as it has parts."""

@@ -59,6 +59,27 @@ def same_period(left: DataFrame, right: DataFrame, *, left_grain: str, left_stam
     return l.join(r, [*on, "__p"], "left").drop("__p")
 
 
+def containing_period(left: DataFrame, right: DataFrame, *, left_grain: str, left_stamp: str, right_grain: str, right_stamp: str, left_date: str = "obs_date", right_date: str = "obs_date", on: list[str] = (), value: str = "value", out: str = "period_value") -> DataFrame:
+    """``same_period`` for calendars that do not nest: the right value whose own span, wherever it begins, contains the row's whole span; null
+    where a row crosses the border of two. No range join: a right row stands once in every month that its span touches (at most 13), a left row
+    in the month of its first day. Of several right rows that contain it, the greatest value stands."""
+    check_grain(left_grain, right_grain)
+    if list(GRAINS).index(right_grain) < list(GRAINS).index(left_grain):
+        raise GrainRefusal("the attached side must not be finer than the rows")
+    rs, ls = span(F.col(right_date), right_grain, right_stamp), span(F.col(left_date), left_grain, left_stamp)
+    r = right.select(*[F.col(c).alias(f"__{c}") for c in on], rs["start"].alias("__a"), rs["end"].alias("__z"), F.col(value).alias(out)).filter(F.col("__a").isNotNull())
+    r = r.groupBy(*[f"__{c}" for c in on], "__a", "__z").agg(F.max(out).alias(out))
+    r = r.withColumn("__m", F.explode(F.sequence(F.trunc("__a", "MONTH"), F.trunc(F.date_sub("__z", 1), "MONTH"), F.expr("INTERVAL 1 MONTH"))))
+    l = left.withColumn("__s", ls["start"]).withColumn("__e", ls["end"]).withColumn("__id", F.monotonically_increasing_id())
+    cond = (F.trunc("__s", "MONTH") == F.col("__m")) & (F.col("__a") <= F.col("__s")) & (F.col("__e") <= F.col("__z"))
+    for c in on:
+        cond = cond & (F.col(c) == F.col(f"__{c}"))
+    hits = l.join(r, cond).groupBy("__id").agg(F.max(out).alias(out)) if right_stamp == "end" and right_grain != "daily" else None
+    if hits is None:  # spans of one start do not overlap: at most one contains a row
+        return l.join(r, cond, "left").select(*left.columns, out)
+    return l.join(hits, "__id", "left").select(*left.columns, out)
+
+
 def last_known(rows: DataFrame, values: DataFrame, *, on: list[str], row_at: str, known_at: str, order: list[str], value: str = "value", out: str = "known_value", bucket: str = "month") -> DataFrame:
     """Beside each row, the value of its series with the latest availability at or before the row's start; among several of
     one instant, the last by ``order``. Both ``on`` and ``row_at`` must be set for a row to get a value.

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .errors import LongtideError
-from .operators.freshness import BANDS, CADENCE_DAYS, DUE_SLACK
+from .operators.freshness import BANDS, CADENCE_DAYS, DUE_SLACK, select_flows
 from .operators.merge import merge_and_write
 
 REVISION_DAYS = 45
@@ -18,7 +18,8 @@ REVISION_DAYS = 45
 
 @dataclass
 class Unit:
-    """``fetch(since)`` gives new rows; ``vintage()`` a token of what the publisher offers now (None: not known)."""
+    """``fetch(since)`` gives new rows; ``vintage()`` a token of what the publisher offers now (None: not known). A source of many flows has
+    ``flows()``, which gives its catalogue, the state of its flows and how many one pass may take, and ``fetch_flow(id)``."""
 
     source_id: str
     unit_id: str
@@ -28,6 +29,8 @@ class Unit:
     vintage: Callable[[], str | None] = lambda: None
     cadence: str = "monthly"
     revision_days: int = REVISION_DAYS
+    flows: Callable[[], tuple[DataFrame, DataFrame, int]] | None = None
+    fetch_flow: Callable[[str], DataFrame] | None = None
 
 
 @dataclass
@@ -93,8 +96,34 @@ def manual_vintage(spark: SparkSession, unit: Unit, state: State) -> Result:
     return _merge(spark, unit, unit.fetch(None), "merge", now) if now is not None and now != state.vintage else Result("no_change", state.rows, state.last_date, state.vintage)
 
 
-#: A source of many flows does what its fetch selects (``operators.freshness.select_flows``); the merge is the same.
-STRATEGIES = {f.__name__: f for f in (extend_by_date, overwrite_if_changed, bulk_snapshot_if_changed, sdmx_delta, manual_vintage)} | {"giant_changed_units": extend_by_date}
+def giant_changed_units(spark: SparkSession, unit: Unit, state: State) -> Result:
+    """A source of thousands of flows. Nothing happens while the token of its catalogue stands still; else the flows that are new, have another
+    vintage or have to be done again are selected (``unit.flows``: catalogue, state and cap, see ``operators.freshness.select_flows``), fetched
+    and merged flow by flow. ``partial`` if more flows were due than the cap, or one failed; a failed flow does not stop the others."""
+    moved, now = _moved(unit, state)
+    if not moved or unit.flows is None:
+        return Result("no_change", state.rows, state.last_date, state.vintage) if not moved else extend_by_date(spark, unit, state)
+    catalogue, flow_state, cap = unit.flows()
+    due_flows = select_flows(catalogue, flow_state, ["partial", "failed", "empty"], cap).orderBy("place").collect()  # at most ``cap``
+    rows, last, failed, changed = state.rows, state.last_date, 0, None
+    for f in due_flows:
+        try:
+            part = unit.fetch_flow(f["flow_id"])
+            if part.isEmpty():
+                failed += 1
+                continue
+            n, at, hit = merge_and_write(spark, f"{unit.path}/{f['flow_id']}", part, report_changed=True)
+            rows, last = rows + n, max(x for x in (last, at) if x is not None) if last or at else None
+            changed = hit if changed is None else changed.unionByName(hit)
+        except LongtideError:
+            failed += 1
+    if not due_flows:
+        return Result("no_change", state.rows, state.last_date, now)
+    whole = not failed and not due_flows[0]["capped"]
+    return Result("ok" if whole else "partial", rows, last, now if whole else state.vintage, changed)
+
+
+STRATEGIES = {f.__name__: f for f in (extend_by_date, overwrite_if_changed, bulk_snapshot_if_changed, sdmx_delta, manual_vintage, giant_changed_units)}
 
 
 def due(unit: Unit, state: State, now: datetime, partial_cap: float = 3.0) -> bool:
