@@ -397,8 +397,9 @@ class Judge:
 
     def gains(self, word: str) -> dict[tuple[Step, ...], float]:
         """What every chain would save or cost, at most ``MOST_BITS`` either way."""
-        now = self.bits(word)
-        return {c: max(-MOST_BITS, min(MOST_BITS, now - self.bits(new))) for c, new in chains(word, self.alphabet).items() if new != word}
+        now, made = self.bits(word), chains(word, self.alphabet)
+        price = {new: self.bits(new) for new in set(made.values())}
+        return {c: max(-MOST_BITS, min(MOST_BITS, now - price[new])) for c, new in made.items() if new != word}
 
 
 def garble_of_more_frequent(word: str, count: dict[str, int], alphabet: set[str], times: int = GARBLED_TIMES) -> bool:
