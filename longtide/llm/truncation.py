@@ -291,12 +291,7 @@ def truncated(documents: DataFrame, *, key: str = "doc_id", text: str = "text",
     The texts are read twice: once for lengths and endings, which are written out, and once for the sample."""
     spark = documents.sparkSession
     ship(spark)
-    told = F.col(declared).cast("double") if declared else F.lit(None).cast("double")
-    bare = F.rtrim(F.col(text), F.lit(BLANKS))
-    ends = documents.select(
-        F.col(key).alias("k"), F.col(source).alias("src"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.char_length(text).alias("chars"), F.octet_length(text).alias("bytes"), told.alias("told"),
-        F.when(F.char_length(bare) > TAIL, F.substring(bare, -TAIL, TAIL)).otherwise(bare).alias("tail"), (F.char_length(bare) < F.char_length(text)).alias("padded"), F.xxhash64(text).alias("h"))
-    ends = staged(ends, "ends")
+    ends = staged(_ends(documents, key, text, source, declared), "ends")
     model = spark.sparkContext.broadcast(fit_endings(documents, key, text, ends.count(), sample))
     limits = limits_by_source(ends).filter("posterior > 0").groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct(F.concat("unit", F.lit(":"), "length"), "posterior"))).alias("posteriors"))
     limits = staged(limits, "limits")
@@ -325,6 +320,22 @@ def truncated(documents: DataFrame, *, key: str = "doc_id", text: str = "text",
     return scored.select(F.col("k").alias(key), F.col("src").alias(source), F.col("chars").alias("length"), "limit_posterior", "ending_odds", p.alias("probability"), (p >= 0.5).alias("cut"))
 
 
+def _ends(documents: DataFrame, key: str, text: str, source: str, declared: str | None) -> DataFrame:
+    """What is looked at of every text: its lengths, its last characters before blanks, and a hash."""
+    bare = F.rtrim(F.col(text), F.lit(BLANKS))
+    return documents.select(
+        F.col(key).alias("k"), F.col(source).alias("src"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.char_length(text).alias("chars"), F.octet_length(text).alias("bytes"),
+        (F.col(declared).cast("double") if declared else F.lit(None).cast("double")).alias("told"),
+        F.when(F.char_length(bare) > TAIL, F.substring(bare, -TAIL, TAIL)).otherwise(bare).alias("tail"), (F.char_length(bare) < F.char_length(text)).alias("padded"), F.xxhash64(text).alias("h"))
+
+
+def candidate_limits(documents: DataFrame, *, text: str = "text", source: str = "source") -> DataFrame:
+    """The lengths at which each source's texts pile up, with how many different texts there are (``n_at``) and the posterior that one of them
+    was cut there."""
+    ship(documents.sparkSession)
+    return limits_by_source(_ends(documents, source, text, source, None).select("source", "chars", "bytes", "h"))
+
+
 def _odds(model: Endings, tail: str, padded: bool, chars: int, told: float | None) -> float:
     """Log-odds of a cut by the last characters of a text, its mark of omission, what closes it, and its declared length."""
     bare, marked = bare_ending(tail)
