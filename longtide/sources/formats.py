@@ -189,6 +189,8 @@ def read_xlsx_rows(spark: SparkSession, path: str, sheets: list[int] | None = (1
         for b in batches:
             for p, content in zip(b["path"], b["content"], strict=True):
                 rows = list(sheet_rows(bytes(content), wanted))
+                if not rows:
+                    continue
                 yield pd.DataFrame({"path": p, "sheet": [s for s, _, _ in rows], "row": [r for _, r, _ in rows], "cells": [c for _, _, c in rows]})
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, sheet int, row int, cells array<string>")
@@ -221,6 +223,8 @@ def read_tar_members(spark: SparkSession, path: str, suffix: str = "") -> DataFr
                     for m in t:
                         if m.isfile() and m.name.endswith(suffix):
                             lines = t.extractfile(m).read().decode("utf-8", "replace").splitlines()
+                            if not lines:
+                                continue
                             yield pd.DataFrame({"path": p, "member": m.name, "line": range(len(lines)), "value": lines})
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, member string, line int, value string")

@@ -26,8 +26,8 @@ def test_snapshots_take_two_exchanges_and_combine_first(spark, sf):
     assert p.count("Exchange hashpartitioning") == 2 and "partial_max_by" in p and "Python" not in p and "SortAggregate" not in p
 
 
-PYTHON = {"p1_found", "p1_values"}
-SMALL_CROSS = {"split_cardinality", "rotation", "flow_selection"}  # with one row
+PYTHON = {"p1_found", "p1_values", "source_zip", "source_xlsx", "source_tar", "source_merged_heads", "store_footers", "store_connector"}
+SMALL_CROSS = {"split_cardinality", "rotation", "flow_selection", "daily_ring", "source_jsonstat"}  # with one row, or the sixty cells of a cube
 
 
 @pytest.mark.parametrize("name", [n for m in entry.MODULES if not m.__name__.startswith("longtide.llm") for n in m.QUERIES])
@@ -36,3 +36,13 @@ def test_no_cross_joins_nor_python(spark, sf, name):
     assert "CartesianProduct" not in p
     assert ("BroadcastNestedLoopJoin" not in p) or name in SMALL_CROSS
     assert not re.search(r"MapInPandas|MapInArrow|PythonUDF|ArrowEvalPython|BatchEvalPython", p) or name in PYTHON
+
+
+def test_a_parent_that_is_not_broadcast_is_salted(spark, sf):
+    p = plan(entry.queries()["p4_salted"](spark, sf))
+    assert "__salt" in p and "sent" not in "".join(x for x in p.split("\n") if "BroadcastExchange" in x)
+
+
+def test_composite_references_plan_every_mask(spark, sf):
+    p = plan(entry.queries()["p4_pairs"](spark, sf))
+    assert p.count("LeftAnti") == 5  # both columns under each semantics, and each column alone under partial match
