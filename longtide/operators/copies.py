@@ -31,7 +31,8 @@ def keyed_differences(left: DataFrame, right: DataFrame, key: str, fields: dict[
     ``missing_left``: only right, or the field's name).
 
     ``fields``: name -> (normalised column of the left, of the right). Identical repeated rows count once. Null equals
-    null only. Where a side holds several different rows of a key, the bags of the field's values are compared.
+    null only. Where both sides hold several different rows of a key, the bags of the field's values are compared; where the rows of
+    one are among those of the other, the extra ones are reported as missing.
     A null key is a key like any other. Empty sides give one-sided rows or nothing; other columns are ignored."""
     names = list(fields)
     cols = ["key", *[f"f{i}" for i in range(len(names))]]
