@@ -144,7 +144,7 @@ def containing_period(spark, d):
     return timejoin.containing_period(line_obs(spark, d).drop("value"), right, left_grain="weekly", left_stamp="end", right_grain="monthly", right_stamp="start")
 
 
-@query("WITH r AS (SELECT name, row_number() OVER (ORDER BY name) AS i FROM (SELECT DISTINCT 's' || CAST(user_id % 17 AS VARCHAR) AS name FROM events)) SELECT name, row_number() OVER (ORDER BY (i - 1 - 19754 % 17 + 17) % 17) AS place FROM r")
+@query("WITH r AS (SELECT name, row_number() OVER (ORDER BY name) AS i FROM (SELECT DISTINCT 's' || CAST(user_id % 17 AS VARCHAR) AS name FROM events)) SELECT name, row_number() OVER (ORDER BY (i - 1 - 19754 % n + n) % n) AS place FROM r, (SELECT count(*) AS n FROM r)")
 def daily_ring(spark, d):
     e = table(spark, d, "events").select(F.concat(F.lit("s"), (F.col("user_id") % 17).cast("string")).alias("name")).distinct()
     return fresh.daily_ring(e, "name", 19754)

@@ -134,7 +134,7 @@ def parents(spark):
 @pytest.mark.parametrize("match", ["simple", "full", "partial"])
 def test_orphans_is_brute_force(spark, match, broadcast, monkeypatch):
     if not broadcast:
-        monkeypatch.setattr("longtide.operators.orphans.fits_broadcast", lambda df: False)
+        monkeypatch.setattr("longtide.operators.orphans.fits_broadcast", lambda *_: False)
         monkeypatch.setattr(skew, "HOT_SHARE", 0.01)
     rng = random.Random(6)
     child = [(i, rng.choice([None, "p", "q", "r", "s", "P", " ", ""]), rng.choice([None, "1", "2"]), rng.choice([None, DAY - timedelta(days=1), DAY, DAY + timedelta(days=5), DAY + timedelta(days=9)]), "c") for i in range(200)]
